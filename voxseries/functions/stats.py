@@ -4,6 +4,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 
 def pearson(x: Column, y: Column, min_n: int = 3) -> Column:
@@ -69,7 +70,7 @@ def two_sided_p(t: np.ndarray, df: np.ndarray) -> np.ndarray:
     return np.where(ok, p, np.nan)
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def t_pvalue(t: pd.Series, df: pd.Series) -> pd.Series:
     """Vectorised ``two_sided_p``; it only ever sees one row per fitted line."""
     p = two_sided_p(t.to_numpy(dtype=float), df.to_numpy(dtype=float))

@@ -9,6 +9,7 @@ from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import IDF, HashingTF
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType
 
 from voxseries import constants as K
 from voxseries.functions.text import strip, words
@@ -27,7 +28,7 @@ def classify(
     shape (n, 3). Only the text column travels to Python, in Arrow batches. Null and blank text
     is neutral and never reaches the model. Text length is the model's affair.
     """
-    @F.pandas_udf("int")
+    @F.pandas_udf(IntegerType())
     def label(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         model = load_model()
         for texts in batches:

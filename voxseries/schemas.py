@@ -3,8 +3,15 @@
 from pyspark.sql import types as T
 
 
+_TYPES = {
+    "string": T.StringType(), "bigint": T.LongType(), "int": T.IntegerType(),
+    "double": T.DoubleType(), "date": T.DateType(),
+}
+
+
 def _struct(spec: str) -> T.StructType:
-    return T.StructType.fromDDL(spec)
+    pairs = (field.split() for field in spec.split(","))
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in pairs])
 
 
 RAW_LINE = _struct("value string")
