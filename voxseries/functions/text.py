@@ -69,10 +69,15 @@ def words(col: Column) -> Column:
 
 
 def compact_number(col: Column) -> Column:
-    """``1.27B``, ``2.12M`` or grouped digits."""
+    """``1.27B``, ``2.12M`` or grouped digits. Exact ties, which only eighths can be, go up."""
+    def scaled(unit, mark):
+        share = col / unit
+        share = F.when(col % (unit // 8) == 0, F.round(share, 2)).otherwise(share)
+        return F.concat(F.format_number(share, 2), F.lit(mark))
+
     return (
-        F.when(col >= 1_000_000_000, F.concat(F.format_number(col / 1e9, 2), F.lit("B")))
-        .when(col >= 1_000_000, F.concat(F.format_number(col / 1e6, 2), F.lit("M")))
+        F.when(col >= 1_000_000_000, scaled(1_000_000_000, "B"))
+        .when(col >= 1_000_000, scaled(1_000_000, "M"))
         .otherwise(F.format_number(col, 0))
     )
 
