@@ -1,8 +1,9 @@
 """Titles onto comments, and sentiment series onto polls.
 
-No side is marked for broadcast. The planner broadcasts one whose size it knows to be under
-``spark.sql.autoBroadcastJoinThreshold``, at run time from measured shuffle sizes; beyond that
-the joins are sort-merge and AQE splits a partition that one hot key has swollen.
+Sides are not marked for broadcast unless they were measured. The planner broadcasts one whose
+size it knows to be under ``spark.sql.autoBroadcastJoinThreshold``, at run time from measured
+shuffle sizes; beyond that the joins are sort-merge and AQE splits a partition that one hot key
+has swollen.
 """
 
 from pyspark.sql import DataFrame
@@ -13,6 +14,19 @@ from voxseries.functions.text import strip
 from voxseries.operators.clean import drop_blank
 
 
+def is_small(df: DataFrame, rows: int = 200_000, chars: int = 16_000_000) -> bool:
+    """Whether a table is proven small enough to broadcast, by rows and by text length.
+
+    For tables that reach a join without statistics, such as a word list. The check reads no more
+    than ``rows`` + 1 rows.
+    """
+    text = [F.length(c) for c, kind in df.dtypes if kind == "string"]
+    found = df.limit(rows + 1).agg(
+        F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(sum(text, F.lit(0))), F.lit(0)).alias("chars")
+    ).first()
+    return found.rows <= rows and found.chars <= chars
+
+
 def attach_titles(
     comments: DataFrame, submissions: DataFrame, dedupe: bool = False, salt: int = 1
 ) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from voxseries import constants as K
 from voxseries.functions.text import words
+from voxseries.operators.joins import is_small
 
 
 def _table(mapping) -> Column:
@@ -26,32 +27,36 @@ def _phrase(*names) -> Column:
 def token_contexts(df: DataFrame, text_col: str, key) -> DataFrame:
     """One row per token with its three predecessors and two successors.
 
-    The neighbours are read from the row's own array before it is exploded, so no window and no
-    shuffle is needed. An empty token closes every row, which keeps rows without any hit.
+    Shifted copies of the row's own token array are zipped before it is exploded, so no window
+    and no shuffle is needed. An empty token closes every row, which keeps rows without any hit.
     """
-    def context(token, i):
-        near = {"w": 0, "p1": -1, "p2": -2, "p3": -3, "n1": 1, "n2": 2}
-        fields = [F.get(F.col("_words"), i + step).alias(name) for name, step in near.items()]
-        return F.struct(i.cast("int").alias("pos"), *fields)
-
-    closing = F.struct(
-        F.lit(-1).alias("pos"), F.lit("").alias("w"),
-        *[F.lit(None).cast("string").alias(n) for n in ("p1", "p2", "p3", "n1", "n2")],
-    )
+    # Found before the explode: afterwards it would be searched for once per token.
     cut = df.select(*key, words(F.col(text_col)).alias("_words"))
     but = F.array_position("_words", F.lit("but")) - 1
-    return cut.select(
-        *key,
-        F.when(but >= 0, but).alias("but"),
-        F.inline(F.concat(F.transform("_words", context), F.array(closing))),
+    cut = cut.withColumn("but", F.when(but >= 0, but))
+    own = F.col("_words")
+
+    def later(n):
+        return F.concat(F.array(*[F.lit(None).cast("string")] * n), own)
+
+    def sooner(n):
+        return F.slice(own, n + 1, F.size(own))
+
+    shifted = F.arrays_zip(
+        F.concat(own, F.array(F.lit(""))).alias("w"),
+        later(1).alias("p1"), later(2).alias("p2"), later(3).alias("p3"),
+        sooner(1).alias("n1"), sooner(2).alias("n2"),
     )
+    tokens = cut.select(*key, "but", F.posexplode(shifted).alias("pos", "_token"))
+    # The shifted copies run past the end; those places hold no token.
+    return tokens.select(*key, "but", "pos", "_token.*").filter(F.col("w").isNotNull())
 
 
-def _nearby(hits: DataFrame, lexicon: DataFrame) -> DataFrame:
+def _nearby(hits: DataFrame, lexicon: DataFrame, side) -> DataFrame:
     """Whether each neighbour is a lexicon word: the same small table again, on hits only."""
     for name in ("p1", "p2", "p3", "n1"):
         known = lexicon.select(F.col("word").alias(name), F.lit(True).alias(f"{name}_known"))
-        hits = hits.join(known, name, "left")
+        hits = hits.join(side(known), name, "left")
     return hits
 
 
@@ -112,17 +117,18 @@ def lexicon_score(
 ) -> DataFrame:
     """Compound score in [-1, 1] of each row's whole text, beside its unique ``key`` columns.
 
-    ``lexicon`` is a table of ``word, valence`` with one row per word. Tokens meet it in a join
-    that the planner broadcasts while the lexicon is small. The only shuffle is of one partial sum
+    ``lexicon`` is a table of ``word, valence`` with one row per word. It is measured first and
+    broadcast if small; a larger one is joined like any other table. The only shuffle is of one partial sum
     per row and task: all tokens of a row sit in one task, so the map side has already added
     them up. Null and empty text scores 0.
     """
     lexicon = lexicon.select("word", F.col("valence").cast("double").alias("valence"))
+    side = F.broadcast if is_small(lexicon) else (lambda table: table)
     closing = df.sparkSession.range(1).select(F.lit("").alias("w"), F.lit(0.0).alias("valence"))
     known = lexicon.select(F.col("word").alias("w"), "valence").union(closing)
 
-    hits = token_contexts(df, text_col, key).join(known, "w")
-    hits = _nearby(hits, lexicon)
+    hits = token_contexts(df, text_col, key).join(side(known), "w")
+    hits = _nearby(hits, lexicon, side)
     silent = F.col("w").isin([b for b in boosters if " " not in b]) | (
         (F.col("w") == "kind") & (F.col("n1") == "of")
     )
@@ -147,9 +153,8 @@ def lexicon_score(
         .when(F.col("pos") > F.col("but"), K.AFTER_BUT_WEIGHT)
         .otherwise(1.0)
     )
-    hits = hits.select(
-        *key, (F.col("score") * F.when(least, K.NEGATION_WEIGHT).otherwise(1.0) * turn).alias("part")
-    )
+    part = F.col("score") * F.when(least, K.NEGATION_WEIGHT).otherwise(1.0) * turn
+    hits = hits.select(*key, F.when(F.col("w") == "", 0.0).otherwise(part).alias("part"))
     total = hits.groupBy(*key).agg(F.sum("part").alias("s"))
     compound = F.col("s") / F.sqrt(F.col("s") * F.col("s") + K.NORMALISER)
     return total.select(*key, F.round(compound, 4).alias(out_col))

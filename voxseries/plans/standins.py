@@ -31,7 +31,7 @@ def scored_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").select(
         "event_id", F.col("event_type").alias("party"), F.col("ts").cast("date").alias("date"),
         F.weekofyear("ts").alias("week"),
-        ((k - 50) / F.lit(50.0)).alias("vader_score"),
+        ((k - 50) / F.lit(53.0)).alias("vader_score"),
         F.when(value < 20, 0).when(value < 60, 1).when(value < 300, 2).alias("trans_sentiment"),
     )
 
@@ -39,7 +39,7 @@ def scored_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 SCORED = """
 scored AS (
   SELECT event_id, event_type AS party, CAST(ts AS DATE) AS date, CAST(week(ts) AS INTEGER) AS week,
-    (CAST(json_extract_string(props, '$.k') AS INTEGER) - 50) / CAST(50 AS DOUBLE) AS vader_score,
+    (CAST(json_extract_string(props, '$.k') AS INTEGER) - 50) / CAST(53 AS DOUBLE) AS vader_score,
     CASE WHEN value < 20 THEN 0 WHEN value < 60 THEN 1 WHEN value < 300 THEN 2 END AS trans_sentiment
   FROM events)"""
 
