@@ -68,6 +68,11 @@ def ratio(part: Column, whole: Column) -> Column:
     return F.try_divide(part.cast("double"), whole)
 
 
+def clamp(col: Column, low: float, high: float) -> Column:
+    """``col`` held between two bounds. Null stays null, which ``least`` would not ensure."""
+    return F.when(col > high, high).when(col < low, low).otherwise(col)
+
+
 def clamp_abs(col: Column, limit: float = 1.0) -> Column:
     """Absolute value capped at ``limit``."""
-    return F.least(F.abs(col), F.lit(limit))
+    return clamp(F.abs(col), 0.0, limit)

@@ -6,6 +6,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
+from voxseries.functions.numbers import clamp
+
 
 def pearson(x: Column, y: Column, min_n: int = 3) -> Column:
     """Aggregate: Pearson r over complete pairs.
@@ -15,8 +17,7 @@ def pearson(x: Column, y: Column, min_n: int = 3) -> Column:
     """
     spread = F.sqrt(F.regr_sxx(y, x)) * F.sqrt(F.regr_syy(y, x))
     r = F.try_divide(F.regr_sxy(y, x), spread)
-    r = F.greatest(F.least(r, F.lit(1.0)), F.lit(-1.0))
-    return F.when(F.regr_count(y, x) >= min_n, r)
+    return F.when(F.regr_count(y, x) >= min_n, clamp(r, -1.0, 1.0))
 
 
 def log_gamma(x: np.ndarray) -> np.ndarray:

@@ -37,15 +37,14 @@ def observed(flagged: DataFrame, counts, name: str) -> tuple[DataFrame, Observat
 
 def summary(daily: DataFrame, weekly: DataFrame) -> DataFrame:
     """One row: targeted rows, first and last date, number of dates, first and last week."""
-    days = daily.agg(
+    days = daily.select("comment_volume", "date")
+    weeks = weekly.select("week")
+    return days.unionByName(weeks, allowMissingColumns=True).agg(
         F.sum("comment_volume").alias("targeted_rows"),
         F.min("date").alias("first_date"), F.max("date").alias("last_date"),
         F.count_distinct("date").alias("daily_buckets"),
-    ).withColumn("_one", F.lit(1))
-    weeks = weekly.agg(
-        F.min("week").alias("first_week"), F.max("week").alias("last_week")
-    ).withColumn("_one", F.lit(1))
-    return days.join(weeks, "_one").drop("_one")
+        F.min("week").alias("first_week"), F.max("week").alias("last_week"),
+    )
 
 
 def extent(series: DataFrame, key: str) -> DataFrame:

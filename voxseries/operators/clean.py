@@ -55,11 +55,14 @@ def filter_raw(lines: DataFrame, values=K.COMMUNITIES, text_key: str | None = "b
     return flag_raw(lines, values, text_key).filter("kept").select("value")
 
 
-def clean_comments(lines: DataFrame, values=K.COMMUNITIES, legacy_none: bool = False) -> DataFrame:
+def clean_comments(
+    lines: DataFrame, values=K.COMMUNITIES, legacy_none: bool = False, trim: bool = True
+) -> DataFrame:
     """Typed comments from raw lines.
 
     With ``legacy_none`` a JSON null in a text field becomes the text ``None`` and the row
-    stays; by default it stays null, and a null body drops the row.
+    stays; by default it stays null, and a null body drops the row. ``trim=False`` takes the
+    community untrimmed, as the first filter does: it then stands for both passes in one.
     """
     raw = require_keys(lines, K.COMMENT_KEYS)
 
@@ -67,7 +70,8 @@ def clean_comments(lines: DataFrame, values=K.COMMUNITIES, legacy_none: bool = F
         return variant_text(F.col(key), legacy_none)
 
     community, body = strip(text("subreddit")), strip(text("body"))
-    typed = raw.filter(in_set(community, values) & ~is_placeholder(body)).select(
+    wanted = in_set(text("subreddit"), values, trim) & ~is_placeholder(body)
+    typed = raw.filter(wanted).select(
         text("id").alias("id"),
         strip_prefix(strip(text("link_id")), K.THREAD_PREFIX).alias("link_id_short"),
         text("parent_id").alias("parent_id"),
@@ -82,14 +86,14 @@ def clean_comments(lines: DataFrame, values=K.COMMUNITIES, legacy_none: bool = F
 
 
 def clean_submissions(
-    lines: DataFrame, values=K.COMMUNITIES, legacy_none: bool = False
+    lines: DataFrame, values=K.COMMUNITIES, legacy_none: bool = False, trim: bool = True
 ) -> DataFrame:
     """Typed submissions from raw lines. Titles are not tested for placeholders."""
     raw = require_keys(lines, K.SUBMISSION_KEYS)
-    community = strip(variant_text(F.col("subreddit"), legacy_none))
-    return raw.filter(in_set(community, values)).select(
+    community = variant_text(F.col("subreddit"), legacy_none)
+    return raw.filter(in_set(community, values, trim)).select(
         variant_text(F.col("id"), legacy_none).alias("id"),
-        F.lower(community).alias("subreddit"),
+        F.lower(strip(community)).alias("subreddit"),
         strip(variant_text(F.col("title"), legacy_none)).alias("title"),
     )
 

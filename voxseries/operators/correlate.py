@@ -4,6 +4,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from voxseries import constants as K
+from voxseries.functions.numbers import clamp
 from voxseries.functions.stats import pearson
 
 
@@ -32,16 +33,17 @@ def rank_series(df: DataFrame, by, cols) -> DataFrame:
     return df
 
 
-def value_ranks(df: DataFrame, by, col: str, bands: int = 256) -> DataFrame:
+def value_ranks(counted: DataFrame, by, col: str, bands: int = 128) -> DataFrame:
     """Average rank of every distinct value of ``col`` in its group, for groups of any size.
 
-    Values are counted first, so that copies are folded before the shuffle. A group is cut at
-    approximate quantiles into bands; ranks run within a band and start after the rows of the
-    bands below it. The cuts only share out the work: whatever they are, the ranks are exact.
+    ``counted`` has rows with a weight ``_n``; equal values are folded before anything is
+    sorted. A group is cut into bands at approximate quantiles of its distinct values; ranks run
+    within a band and start after the rows of the bands below it. The cuts only share out the
+    work: whatever they are, the ranks are exact.
     """
-    counts = df.groupBy(*by, col).agg(F.count(F.lit(1)).alias("_n"))
+    counts = counted.groupBy(*by, col).agg(F.sum("_n").alias("_n"))
     marks = [i / bands for i in range(1, bands)]
-    cuts = df.groupBy(*by).agg(F.percentile_approx(col, marks).alias("_cuts"))
+    cuts = counts.groupBy(*by).agg(F.percentile_approx(col, marks).alias("_cuts"))
     band = F.size(F.filter("_cuts", lambda cut: cut < F.col(col)))
     banded = counts.join(cuts, list(by)).select(*by, col, "_n", band.alias("_band"))
 
@@ -58,8 +60,8 @@ def value_ranks(df: DataFrame, by, col: str, bands: int = 256) -> DataFrame:
 def _large_spearman(complete: DataFrame, keys, min_n: int) -> DataFrame:
     """Spearman without a window over a whole group."""
     folded = complete.groupBy(*keys, "x", "y").agg(F.count(F.lit(1)).alias("_n"))
-    ranked = folded.join(value_ranks(complete, keys, "x"), [*keys, "x"])
-    ranked = ranked.join(value_ranks(complete, keys, "y"), [*keys, "y"])
+    ranked = folded.join(value_ranks(folded, keys, "x"), [*keys, "x"])
+    ranked = ranked.join(value_ranks(folded, keys, "y"), [*keys, "y"])
     w, a, b = F.col("_n"), F.col("x_rank"), F.col("y_rank")
     sums = ranked.groupBy(*keys).agg(
         F.sum(w).alias("_w"), F.sum(w * a).alias("_a"), F.sum(w * b).alias("_b"),
@@ -71,8 +73,7 @@ def _large_spearman(complete: DataFrame, keys, min_n: int) -> DataFrame:
 
     spread = F.sqrt(centred("_aa", "_a", "_a")) * F.sqrt(centred("_bb", "_b", "_b"))
     r = F.try_divide(centred("_ab", "_a", "_b"), spread)
-    r = F.greatest(F.least(r, F.lit(1.0)), F.lit(-1.0))
-    return sums.select(*keys, F.when(F.col("_w") >= min_n, r).alias("spearman"))
+    return sums.select(*keys, F.when(F.col("_w") >= min_n, clamp(r, -1.0, 1.0)).alias("spearman"))
 
 
 def pair_stats(long: DataFrame, by, min_n: int = 3, large_groups: bool = False) -> DataFrame:

@@ -3,9 +3,7 @@
 Input text is lower-cased, so the rules for capitals never apply, and ! and ? are not counted.
 """
 
-from itertools import chain
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from voxseries import constants as K
@@ -13,15 +11,24 @@ from voxseries.functions.text import words
 from voxseries.operators.joins import is_small
 
 
-def _table(mapping) -> Column:
-    return F.create_map(*chain.from_iterable((F.lit(k), F.lit(float(v))) for k, v in mapping.items()))
+def _listed(term: str, names) -> str:
+    """SQL test whether a term is one of the names."""
+    quoted = ", ".join("'" + n.replace("\\", "\\\\").replace("'", "\\'") + "'" for n in names)
+    return f"coalesce({term} IN ({quoted}), false)" if quoted else "false"
 
 
-def _phrase(*names) -> Column:
-    """The named neighbours as one phrase; null if one of them is missing."""
-    return F.concat_ws(" ", *names) if len(names) == 1 else F.concat(
-        *chain.from_iterable((F.lit(" "), F.col(n)) if i else (F.col(n),) for i, n in enumerate(names))
-    )
+def _weight(term: str, mapping) -> str:
+    """SQL weight of a word or phrase, null if it has none: one membership test per weight."""
+    by_weight: dict[float, list[str]] = {}
+    for name, weight in mapping.items():
+        by_weight.setdefault(float(weight), []).append(name)
+    arms = "".join(f" WHEN {_listed(term, names)} THEN {w}D" for w, names in by_weight.items())
+    return f"CASE{arms} END" if arms else "CAST(NULL AS DOUBLE)"
+
+
+def _phrase(*names: str) -> str:
+    """SQL text of neighbouring words as one phrase; null if one of them is missing."""
+    return "concat(" + ", ' ', ".join(names) + ")"
 
 
 def token_contexts(df: DataFrame, text_col: str, key) -> DataFrame:
@@ -60,49 +67,36 @@ def _nearby(hits: DataFrame, lexicon: DataFrame, side) -> DataFrame:
     return hits
 
 
-def _negates(name: str, negators) -> Column:
-    return F.col(name).isin(list(negators)) | F.contains(F.col(name), F.lit("n't"))
-
-
 def _step(hits: DataFrame, k: int, boosters, negators) -> DataFrame:
     """Effect of the k-th word before a hit; a word with a valence of its own has none."""
-    near = f"p{k}"
-    acts = F.col(near).isNotNull() & F.col(f"{near}_known").isNull()
-    sign = F.when(F.col("score") < 0, -1.0).otherwise(1.0)
-    degree = F.coalesce(_table(boosters)[F.col(near)], F.lit(0.0))
-    hits = hits.withColumn(
-        "score", F.col("score") + F.when(acts, degree * sign * K.DISTANCE_DAMPING[k - 1]).otherwise(0.0)
-    )
-    weight = F.when(acts & _negates(near, negators), K.NEGATION_WEIGHT)
-    between = [f"p{i}" for i in range(1, k)]
+    near, between = f"p{k}", [f"p{i}" for i in range(1, k)]
+    acts = f"({near} IS NOT NULL AND {near}_known IS NULL)"
+    degree = f"coalesce({_weight(near, boosters)}, 0D) * IF(score < 0, -1D, 1D)"
+    negates = f"({_listed(near, negators)} OR contains({near}, 'n\\'t'))"
+    arms = f"WHEN NOT {acts} THEN 1D"
     if between:
-        def any_of(*tokens):
-            found = F.lit(False)
-            for b in between:
-                found = found | F.coalesce(F.col(b).isin(*tokens), F.lit(False))
-            return found
-
-        weight = (
-            F.when(acts & (F.col(near) == "never") & any_of("so", "this"), K.NEVER_SO_WEIGHT)
-            .when(acts & (F.col(near) == "without") & any_of("doubt"), 1.0)
-            .when(acts & _negates(near, negators), K.NEGATION_WEIGHT)
-        )
-    return hits.withColumn("score", F.col("score") * F.coalesce(weight, F.lit(1.0)))
+        so = " OR ".join(_listed(b, ["so", "this"]) for b in between)
+        doubt = " OR ".join(_listed(b, ["doubt"]) for b in between)
+        arms += f" WHEN {near} = 'never' AND ({so}) THEN {K.NEVER_SO_WEIGHT}D"
+        arms += f" WHEN {near} = 'without' AND ({doubt}) THEN 1D"
+    arms += f" WHEN {negates} THEN {K.NEGATION_WEIGHT}D"
+    return hits.withColumn("score", F.expr(
+        f"(score + IF({acts}, {degree} * {K.DISTANCE_DAMPING[k - 1]}D, 0D)) * (CASE {arms} ELSE 1D END)"
+    ))
 
 
 def _phrases(hits: DataFrame, boosters, idioms) -> DataFrame:
     """Multi-word expressions that end in, or start at, the hit."""
-    table = _table(idioms)
+    after = [("w", "n1", "n2"), ("w", "n1")]
     before = [("p1", "w"), ("p2", "p1", "w"), ("p2", "p1"), ("p3", "p2", "p1"), ("p3", "p2")]
-    after = [("w", "n1"), ("w", "n1", "n2")]
-    own = F.coalesce(*[table[_phrase(*p)] for p in reversed(after)], *[table[_phrase(*p)] for p in before])
-    degree = F.lit(0.0)
-    for names in (("p3", "p2", "p1"), ("p3", "p2"), ("p2", "p1")):
-        degree = degree + F.coalesce(_table(boosters)[_phrase(*names)], F.lit(0.0))
-    applies = F.col("p3").isNotNull() & F.col("p3_known").isNull()
-    return hits.withColumn(
-        "score", F.when(applies, F.coalesce(own, F.col("score")) + degree).otherwise(F.col("score"))
+    own = ", ".join(_weight(_phrase(*names), idioms) for names in [*after, *before])
+    spaced = {name: weight for name, weight in boosters.items() if " " in name}
+    degree = " + ".join(
+        f"coalesce({_weight(_phrase(*names), spaced)}, 0D)"
+        for names in [("p3", "p2", "p1"), ("p3", "p2"), ("p2", "p1")]
     )
+    applies = "p3 IS NOT NULL AND p3_known IS NULL"
+    return hits.withColumn("score", F.expr(f"IF({applies}, coalesce({own}, score) + {degree}, score)"))
 
 
 def lexicon_score(
@@ -114,8 +108,12 @@ def lexicon_score(
     negators=K.NEGATORS,
     idioms=K.IDIOMS,
     out_col: str = "vader_score",
+    copies_col: str | None = None,
 ) -> DataFrame:
-    """Compound score in [-1, 1] of each row's whole text, beside its unique ``key`` columns.
+    """Compound score in [-1, 1] of each row's whole text, beside its ``key`` columns.
+
+    The key must be unique, unless ``copies_col`` is given: then rows that agree in key and text
+    become one row with their number in that column, for an aggregation to weigh it by.
 
     ``lexicon`` is a table of ``word, valence`` with one row per word. It is measured first and
     broadcast if small; a larger one is joined like any other table. The only shuffle is of one partial sum
@@ -127,37 +125,35 @@ def lexicon_score(
     closing = df.sparkSession.range(1).select(F.lit("").alias("w"), F.lit(0.0).alias("valence"))
     known = lexicon.select(F.col("word").alias("w"), "valence").union(closing)
 
+    if copies_col:
+        key = [*key, "_digest"]
+        df = df.withColumn("_digest", F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256))
     hits = token_contexts(df, text_col, key).join(side(known), "w")
     hits = _nearby(hits, lexicon, side)
-    silent = F.col("w").isin([b for b in boosters if " " not in b]) | (
-        (F.col("w") == "kind") & (F.col("n1") == "of")
-    )
-    plain_no = (F.col("w") == "no") & F.col("n1_known")
-    after_no = (F.col("p1") == "no") | (F.col("p2") == "no") | (
-        (F.col("p3") == "no") & F.col("p1").isin("or", "nor")
-    )
-    start = (
-        F.when(after_no, F.col("valence") * K.NEGATION_WEIGHT)
-        .when(plain_no, 0.0)
-        .otherwise(F.col("valence"))
-    )
-    hits = hits.filter(~F.coalesce(silent, F.lit(False))).withColumn("score", start)
+    plain = [b for b in boosters if " " not in b]
+    hits = hits.filter(f"NOT ({_listed('w', plain)} OR (w = 'kind' AND coalesce(n1 = 'of', false)))")
+    after_no = "p1 = 'no' OR p2 = 'no' OR (p3 = 'no' AND p1 IN ('or', 'nor'))"
+    hits = hits.withColumn("score", F.expr(
+        f"CASE WHEN {after_no} THEN valence * {K.NEGATION_WEIGHT}D"
+        " WHEN w = 'no' AND n1_known THEN 0D ELSE valence END"
+    ))
     for k in (1, 2, 3):
         hits = _step(hits, k, boosters, negators)
     hits = _phrases(hits, boosters, idioms)
-    least = (F.col("p1") == "least") & F.col("p1_known").isNull() & (
-        F.col("p2").isNull() | ~F.col("p2").isin("at", "very")
-    )
-    turn = (
-        F.when(F.col("pos") < F.col("but"), K.BEFORE_BUT_WEIGHT)
-        .when(F.col("pos") > F.col("but"), K.AFTER_BUT_WEIGHT)
-        .otherwise(1.0)
+    least = "p1 = 'least' AND p1_known IS NULL AND coalesce(p2 NOT IN ('at', 'very'), true)"
+    part = F.expr(
+        f"score * IF({least}, {K.NEGATION_WEIGHT}D, 1D)"
+        f" * CASE WHEN pos < but THEN {K.BEFORE_BUT_WEIGHT}D WHEN pos > but THEN {K.AFTER_BUT_WEIGHT}D ELSE 1D END"
     )
-    part = F.col("score") * F.when(least, K.NEGATION_WEIGHT).otherwise(1.0) * turn
-    hits = hits.select(*key, F.when(F.col("w") == "", 0.0).otherwise(part).alias("part"))
-    total = hits.groupBy(*key).agg(F.sum("part").alias("s"))
-    compound = F.col("s") / F.sqrt(F.col("s") * F.col("s") + K.NORMALISER)
-    return total.select(*key, F.round(compound, 4).alias(out_col))
+    closes = F.col("w") == ""
+    hits = hits.select(*key, F.when(closes, 0.0).otherwise(part).alias("part"), closes.alias("closes"))
+    # Every row has one closing token, so their number is the number of equal rows.
+    total = hits.groupBy(*key).agg(F.sum("part").alias("s"), F.count_if("closes").alias("copies"))
+    s = F.col("s") / F.col("copies") if copies_col else F.col("s")
+    total = total.withColumn("s", s)
+    compound = F.round(F.col("s") / F.sqrt(F.col("s") * F.col("s") + K.NORMALISER), 4)
+    copies = [F.col("copies").alias(copies_col)] if copies_col else []
+    return total.select(*[k for k in key if k != "_digest" or not copies_col], compound.alias(out_col), *copies)
 
 
 def with_lexicon_score(
@@ -167,7 +163,7 @@ def with_lexicon_score(
 
     Needs no key: each distinct text is scored once under its digest and joined back, so rows
     may repeat. Copies of one text are folded before the shuffle, and a digest that many rows
-    share is split by AQE in the join.
+    share is split by AQE in the join. ``df`` is read twice: best a stored table.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = df.withColumn("_digest", F.sha2(text, 256))

@@ -26,14 +26,16 @@ def add_ratios(df: DataFrame, names=tuple(_CLASSES)) -> DataFrame:
     })
 
 
-def _partial(scored: DataFrame, keys) -> DataFrame:
+def _partial(scored: DataFrame, keys, copies: str | None) -> DataFrame:
     """Sums that can be added up again at a coarser grain."""
     rows = class_indicators(scored.filter(F.col("party").isNotNull()))
+    n = F.col(copies) if copies else F.lit(1).cast("bigint")
+    score = F.col("vader_score")
     return rows.groupBy(*keys).agg(
-        F.sum("vader_score").alias("score_sum"),
-        F.count("vader_score").alias("score_n"),
-        *[F.sum(f"is_{n}").alias(f"{n}_count") for n in _CLASSES],
-        F.count(F.lit(1)).alias("comment_volume"),
+        F.sum(score * n).alias("score_sum"),
+        F.coalesce(F.sum(F.when(score.isNotNull(), n)), F.lit(0)).alias("score_n"),
+        *[F.sum(F.col(f"is_{name}") * n).alias(f"{name}_count") for name in _CLASSES],
+        F.sum(n).alias("comment_volume"),
     )
 
 
@@ -47,22 +49,23 @@ def _finish(sums: DataFrame, keys) -> DataFrame:
     return add_ratios(table)
 
 
-def rollup(scored: DataFrame, keys) -> DataFrame:
-    """Mean score, class counts, volume and class ratios per key.
+def rollup(scored: DataFrame, keys, copies: str | None = None) -> DataFrame:
+    """Mean score, class counts, volume and class ratios per key; a row counts as often as its
+    ``copies`` column says, once without one.
 
     One hash aggregation: each task sends one row per key it met, so a group that holds most of
     the rows costs no more than any other.
     """
-    return _finish(_partial(scored, keys), keys)
+    return _finish(_partial(scored, keys, copies), keys)
 
 
-def rollup_both(scored: DataFrame) -> DataFrame:
+def rollup_both(scored: DataFrame, copies: str | None = None) -> DataFrame:
     """Weekly and daily series from one scan, told apart by ``grain``.
 
     The rows are summed once per (party, week, date); only that small table is expanded to the
     two grains.
     """
-    base = _partial(scored, ["party", "week", "date"])
+    base = _partial(scored, ["party", "week", "date"], copies)
     sums = ["score_sum", "score_n", *[f"{n}_count" for n in _CLASSES], "comment_volume"]
     party, week, date = F.col("party"), F.col("week"), F.col("date")
     both = base.groupingSets([[party, week], [party, date]], party, week, date).agg(

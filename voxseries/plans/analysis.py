@@ -48,7 +48,9 @@ def analyse(
     return out
 
 
-def analyse_scored(scored: DataFrame, polls: DataFrame, **options) -> dict[str, DataFrame]:
+def analyse_scored(
+    scored: DataFrame, polls: DataFrame, copies: str | None = None, **options
+) -> dict[str, DataFrame]:
     """The same from scored rows."""
-    weekly, daily = split_grains(rollup_both(scored))
+    weekly, daily = split_grains(rollup_both(scored, copies))
     return analyse(weekly, daily, polls, **options)

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from voxseries import constants as K
 from voxseries.functions.dates import epoch_date
 from voxseries.operators.audit import match_counts, observed, raw_counts
-from voxseries.operators.clean import clean_comments, clean_submissions, filter_raw, flag_raw
+from voxseries.operators.clean import clean_comments, clean_submissions, flag_raw
 from voxseries.operators.joins import attach_titles, flag_matches
 from voxseries.sources.dumps import scan_dump
 from voxseries.sources.tables import write_table
@@ -16,11 +16,9 @@ def titled_comments(
     comment_lines: DataFrame, submission_lines: DataFrame, values=K.COMMUNITIES,
     legacy_none: bool = False, dedupe: bool = False,
 ) -> DataFrame:
-    """Filter, clean and join in one plan, with no files in between."""
-    comments = clean_comments(filter_raw(comment_lines, values), values, legacy_none)
-    submissions = clean_submissions(
-        filter_raw(submission_lines, values, text_key=None), values, legacy_none
-    )
+    """Filter, clean and join in one plan: no files in between, each line parsed once."""
+    comments = clean_comments(comment_lines, values, legacy_none, trim=False)
+    submissions = clean_submissions(submission_lines, values, legacy_none, trim=False)
     return attach_titles(comments, submissions, dedupe)
 
 

@@ -25,7 +25,7 @@ from voxseries.operators.target import targeted, targeted_comments
 from voxseries.plans import standins as X
 from voxseries.plans.analysis import split_grains
 from voxseries.plans.etl import titled_comments
-from voxseries.plans.scoring import scored_rows
+from voxseries.plans.scoring import COPIES, series_rows
 from voxseries.sources import publish as W
 from voxseries.sources.reference_series import PROBABILITY_HEADER, parse_percent_table
 from voxseries.sources.tables import coerce_series, to_json_lines, union_parts
@@ -212,7 +212,7 @@ hits AS (SELECT * FROM named WHERE targeted_sentence <> '')"""
 @query(f"WITH {_targeted_sql('documents', 'doc_id', 'text', X.LANGUAGE_KEYWORDS)} SELECT * FROM hits")
 def targeted_documents(spark, sf_dir):
     """Sentences of each document that name a group."""
-    docs = X.table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = X.texts(spark, sf_dir, "documents", "doc_id", "text")
     return targeted(docs, "text", X.LANGUAGE_KEYWORDS).select("doc_id", "party", "targeted_sentence")
 
 
@@ -309,7 +309,7 @@ FROM documents d LEFT JOIN total USING (doc_id)"""
 def lexicon_documents(spark, sf_dir):
     """Compound score of every document's whole text."""
     return lexicon_score(
-        X.table(spark, sf_dir, "documents"), "text", X.lexicon(spark), ["doc_id"],
+        X.texts(spark, sf_dir, "documents", "doc_id", "text"), "text", X.lexicon(spark), ["doc_id"],
         boosters=X.BOOSTERS, negators=X.NEGATORS, idioms=X.IDIOMS,
     )
 
@@ -317,7 +317,7 @@ def lexicon_documents(spark, sf_dir):
 def _training_rows(spark, sf_dir):
     labels = X.table(spark, sf_dir, "labels")
     label = F.when(F.col("toxic") == 1, K.NEGATIVE).when(F.col("quality") == 1, K.POSITIVE).otherwise(K.NEUTRAL)
-    docs = X.table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = X.texts(spark, sf_dir, "documents", "doc_id", "text")
     return docs.join(labels.select("doc_id", label.alias("label")), "doc_id")
 
 
@@ -325,7 +325,7 @@ def _training_rows(spark, sf_dir):
 def classify_documents(spark, sf_dir):
     """The default classifier, trained on the labelled documents, over all of them."""
     model = C.train_classifier(_training_rows(spark, sf_dir), "text", "label", features=1 << 14)
-    docs = X.table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = X.texts(spark, sf_dir, "documents", "doc_id", "text")
     return C.classify_with(docs, "text", model).select("doc_id", "trans_sentiment")
 
 
@@ -343,7 +343,7 @@ def load_length_model():
 FROM (SELECT doc_id, text, length(text) AS n, length(regexp_replace(text, '[^0-9]', '', 'g')) AS d FROM documents)""")
 def classify_with_hook(spark, sf_dir):
     """Any batch model through the hook."""
-    docs = X.table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = X.texts(spark, sf_dir, "documents", "doc_id", "text")
     return C.classify(docs, "text", load_length_model).select("doc_id", "trans_sentiment")
 
 
@@ -995,7 +995,7 @@ def titled_to_targeted(spark, sf_dir):
 def _chain_scored(spark, sf_dir):
     words = spark.createDataFrame(
         [("right-wing", -1.2), ("lost", -1.3), ("speaks", 0.8), ("liberals", 0.5)], "word string, valence double")
-    return scored_rows(
+    return series_rows(
         _joined(spark, sf_dir), words, lambda rows, text: C.classify(rows, text, load_tail_model)
     )
 
@@ -1025,4 +1025,4 @@ scored AS (
 @query(f"WITH {_CHAIN_SCORED}, {_DAILY} SELECT party, date, {_ROUNDED} FROM daily")
 def dump_to_series(spark, sf_dir):
     """Raw lines all the way to the daily series."""
-    return r6(U.rollup(_chain_scored(spark, sf_dir), ["party", "date"]))
+    return r6(U.rollup(_chain_scored(spark, sf_dir), ["party", "date"], COPIES))

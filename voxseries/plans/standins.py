@@ -6,6 +6,8 @@ Nothing here is cut down: every row of the source table becomes a row of the sta
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from voxseries.sources.tables import spread_scan
+
 # Stand-in parameters for the registered queries.
 POLL_COLUMNS = {"purchase": "lpc", "view": "cpc", "click": "ndp"}
 LANGUAGE_KEYWORDS = {
@@ -24,6 +26,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def texts(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
+    """The same, spread over all cores ahead of costly work on each row."""
+    return spread_scan(table(spark, sf_dir, name).select(*columns))
+
+
 def scored_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scored rows: the event type is the group."""
     k = F.get_json_object("props", "$.k").cast("int")
@@ -96,7 +103,9 @@ _COMMENT_LINE = """
 def comment_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One raw JSON line per event, malformed and incomplete ones among them."""
     start = F.to_timestamp_ntz(F.lit("1970-01-01 00:00:00"))
-    events = table(spark, sf_dir, "events").select(
+    events = texts(
+        spark, sf_dir, "events", "event_id", "user_id", "event_type", "value", "ts", "props"
+    ).select(
         "event_id", "user_id", "event_type", "value",
         F.get_json_object("props", "$.k").cast("int").alias("k"),
         F.timestamp_diff("SECOND", start, F.col("ts")).alias("secs"),
@@ -140,7 +149,7 @@ def threads(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Replies as comments, and opening user turns as titled submissions."""
     talk = table(spark, sf_dir, "conversations")
     key = F.col("conv_id").cast("string")
-    replies = talk.filter("turn > 0").select(
+    replies = texts(spark, sf_dir, "conversations", "conv_id", "turn", "text").filter("turn > 0").select(
         F.concat_ws("-", "conv_id", "turn").alias("id"), key.alias("link_id_short"),
         F.col("text").alias("body"),
     )

@@ -25,11 +25,11 @@ JOINED_COMMENT = T.StructType(CLEAN_COMMENT.fields).add("title", "string")
 TARGETED = (
     T.StructType(JOINED_COMMENT.fields)
     .add("full_text", "string").add("party", "string").add("targeted_sentence", "string")
-    .add("date", "date").add("week", "int")
+    .add("date", "date").add("week", "integer")
 )
 SCORED = T.StructType(
     [f for f in TARGETED.fields if f.name != "full_text"]
-).add("trans_sentiment", "int").add("vader_score", "double")
+).add("trans_sentiment", "integer").add("vader_score", "double")
 
 _SERIES_METRICS = (
     "vader_avg double, pos_count bigint, neg_count bigint, neu_count bigint,"

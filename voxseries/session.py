@@ -12,6 +12,9 @@ DEFAULTS = {
     "spark.sql.variant.allowDuplicateKeys": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.files.maxPartitionBytes": "128m",
+    # The JVM does not compile methods over 8000 bytes of bytecode; operator by operator is then
+    # faster than one fused method that stays interpreted.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 

@@ -24,7 +24,7 @@ def _zstd_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     def lines(path):
         system, inner = fs.FileSystem.from_uri(path)
-        with system.open_input_stream(inner) as raw:
+        with system.open_input_stream(inner, compression=None) as raw:
             with reader.stream_reader(raw, read_across_frames=True) as plain:
                 rest = b""
                 while chunk := plain.read(_READ_BYTES):

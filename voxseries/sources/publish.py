@@ -43,23 +43,25 @@ def publish(df: DataFrame, kind: str) -> DataFrame:
     return df.select(*[column(s, *rule) for s, rule in _LAYOUTS[kind].items()])
 
 
-def publish_meta(summary: DataFrame, comments: DataFrame, submissions: DataFrame, final_results: dict,
-                 event_day: str = K.EVENT_DAY, model: str = "") -> DataFrame:
+def publish_meta(
+    summary: DataFrame, comments: DataFrame, submissions: DataFrame, final_results: dict,
+    event_day: str = K.EVENT_DAY, model: str = "",
+) -> DataFrame:
     """The one-row description of the corpus; ``comments`` and ``submissions`` are audit rows
     of the first filter."""
-    one = F.lit(1).alias("_one")
-    base = summary.select("*", one)
-    c = comments.select(F.col("seen").alias("commentsScanned"), F.col("kept").alias("commentsKeptAfterFilter"), one)
-    s = submissions.select(
-        F.col("seen").alias("submissionsScanned"), F.col("kept").alias("submissionsKeptAfterFilter"), one
-    )
-    results = F.struct(*[F.lit(v).alias(k) for k, v in final_results.items()])
-    return base.join(c, "_one").join(s, "_one").select(
-        "commentsScanned", "commentsKeptAfterFilter", "submissionsScanned", "submissionsKeptAfterFilter",
+    def count(audit, name):
+        return audit.select(name).scalar()
+
+    return summary.select(
+        count(comments, "seen").alias("commentsScanned"),
+        count(comments, "kept").alias("commentsKeptAfterFilter"),
+        count(submissions, "seen").alias("submissionsScanned"),
+        count(submissions, "kept").alias("submissionsKeptAfterFilter"),
         F.col("targeted_rows").alias("targetedSentences"),
         F.array(F.col("first_date").cast("string"), F.col("last_date").cast("string")).alias("dailyDateRange"),
         F.col("daily_buckets").alias("dailyBucketCount"),
         F.array("first_week", "last_week").alias("weeklyWeekRange"),
-        F.lit(event_day).alias("electionDay"), results.alias("finalResults"),
+        F.lit(event_day).alias("electionDay"),
+        F.struct(*[F.lit(v).alias(k) for k, v in final_results.items()]).alias("finalResults"),
         F.lit(model).alias("transformerModel"),
     )

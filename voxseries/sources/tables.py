@@ -39,6 +39,17 @@ def read_series(
     return coerce_series(raw, time_col, int_cols)
 
 
+def spread_scan(scan: DataFrame) -> DataFrame:
+    """A scan that has fewer splits than the cluster has cores, dealt out to all of them.
+
+    For small tables and files that cannot be split, ahead of costly work on each row. A scan
+    with splits enough is returned as it is, so nothing is shuffled at scale. Select the needed
+    columns first.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
+
+
 def union_parts(*parts: DataFrame) -> DataFrame:
     """Parts stacked by column name; a column missing from one part is null there."""
     first, *others = parts
