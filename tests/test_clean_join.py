@@ -37,6 +37,22 @@ def test_unusable_lines_drop(spark):
            GOOD | {"created_utc": None}]
     assert clean_comments(lines(spark, *bad)).count() == 0
     assert clean_comments(lines(spark, *bad), legacy_none=True).count() == 0
+    trailing = json.dumps(GOOD) + " x"
+    assert clean_comments(lines(spark, trailing)).count() == 0
+    assert flag_raw(lines(spark, trailing.replace(" Canada ", "canada"))).first().bad
+
+
+def test_invalid_bytes_are_bad(spark):
+    raw = spark.createDataFrame([(b'{"subreddit":"ndp","body":"a\xff"}',)], "b binary")
+    raw = raw.selectExpr("cast(b as string) as value")
+    flags = flag_raw(raw).first()
+    assert flags.bad and not flags.kept
+
+
+def test_null_community(spark):
+    record = GOOD | {"subreddit": None}
+    assert clean_comments(lines(spark, record), ["none"], legacy_none=True).count() == 1
+    assert clean_comments(lines(spark, record), ["none"]).count() == 0
 
 
 def test_null_body_and_key(spark):

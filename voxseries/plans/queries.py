@@ -64,7 +64,7 @@ def _strip(sql: str) -> str:
 
 _RECORDS = f"""
 parsed AS (
-  SELECT value, CASE WHEN json_valid(value) AND starts_with(ltrim(value), '{{{{' ) THEN CAST(value AS JSON) END AS j
+  SELECT value, CASE WHEN json_valid(value) AND starts_with(ltrim(value), '{{{{') THEN CAST(value AS JSON) END AS j
   FROM {{lines}})""".replace("{{{{", "{")
 
 

@@ -78,7 +78,13 @@ def write_lines(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
 
 
 def write_table(df: DataFrame, path: str, mode: str = "overwrite", by=()) -> DataFrame:
-    """Parquet hand-over between stages; returns the table read back, with a short lineage."""
+    """Parquet hand-over between stages; returns the table read back, with a short lineage.
+
+    With ``by``, rows are first brought together per partition value, so that a value gets few
+    files; AQE splits a value that is too large for one task.
+    """
+    if by:
+        df = df.hint("rebalance", *by)
     writer = df.write.mode(mode)
     (writer.partitionBy(*by) if by else writer).parquet(path)
     return df.sparkSession.read.parquet(path)
