@@ -69,6 +69,8 @@ def test_read_table_months(spark, scratch):
     df = T.read_table(spark, os.path.join(scratch, "2025-*"), schemas.CLEAN_SUBMISSION)
     got = {r.id: (r.title, r.subreddit) for r in df.collect() if r.id}
     assert got == {"a": ("t", None), "b": ("u", None)}
+    glob_path = os.path.join(scratch, "2025-*")
+    assert df.count() == 4 and T.read_table(spark, glob_path, schemas.CLEAN_SUBMISSION, True).count() == 2
 
 
 def test_read_series(spark, scratch):
@@ -229,6 +231,8 @@ def test_dumps_to_scored_rows(spark, scratch):
     joined, counts = run_etl(spark, [c], [s], os.path.join(scratch, "etl"))
     assert counts["comments"] == {"seen": 5, "kept": 2, "bad": 1}
     assert counts["submissions"] == {"seen": 2, "kept": 1, "bad": 0}
+    assert counts["comments_clean"] == {"total": 2, "kept": 2}
+    assert counts["submissions_clean"] == {"total": 1, "kept": 1}
     assert counts["join"] == {"inputs": 2, "matched": 1, "unmatched": 1}
     assert {r.id: r.title for r in joined.collect()} == {"c0": "Carney", "c1": ""}
     assert os.path.isdir(os.path.join(scratch, "etl", "joined", "month=2025-01"))

@@ -14,6 +14,14 @@ def raw_counts():
     ]
 
 
+def clean_counts(lines: DataFrame, cleaned: DataFrame) -> DataFrame:
+    """One row: total lines and those that cleaning kept."""
+    marks = lines.select(F.lit(1).alias("total"), F.lit(0).alias("kept")).unionByName(
+        cleaned.select(F.lit(0).alias("total"), F.lit(1).alias("kept"))
+    )
+    return marks.agg(F.sum("total").alias("total"), F.sum("kept").alias("kept"))
+
+
 def match_counts():
     """inputs, matched and unmatched over joined rows flagged ``matched``."""
     return [

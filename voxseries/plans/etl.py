@@ -32,26 +32,27 @@ def run_etl(
     months go through together, so a comment finds the submission of an earlier month. The
     result is laid out by month of the comment.
     """
-    def kept_lines(dumps, text_key, name):
-        flagged = flag_raw(scan_dump(spark, *dumps, long_window=long_window), values, text_key)
-        return observed(flagged, raw_counts(), name)
-
-    comment_lines, comment_seen = kept_lines(comment_dumps, "body", "comments")
-    comments = write_table(
-        clean_comments(comment_lines.filter("kept").select("value"), values, legacy_none),
-        f"{out}/comments",
-    )
-    submission_lines, submission_seen = kept_lines(submission_dumps, None, "submissions")
-    submissions = write_table(
-        clean_submissions(submission_lines.filter("kept").select("value"), values, legacy_none),
-        f"{out}/submissions",
-    )
+    def cleaned(dumps, text_key, clean, name):
+        """Both passes over one kind of dump, each counted on the way to the same write."""
+        flagged, seen = observed(
+            flag_raw(scan_dump(spark, *dumps, long_window=long_window), values, text_key),
+            raw_counts(), f"{name}_raw",
+        )
+        lines, total = observed(
+            flagged.filter("kept").select("value"), [F.count(F.lit(1)).alias("total")], f"{name}_lines"
+        )
+        rows, kept = observed(
+            clean(lines, values, legacy_none), [F.count(F.lit(1)).alias("kept")], f"{name}_clean"
+        )
+        stored = write_table(rows, f"{out}/{name}")
+        return stored, {name: seen.get, f"{name}_clean": total.get | kept.get}
+
+    comments, counts = cleaned(comment_dumps, "body", clean_comments, "comments")
+    submissions, more = cleaned(submission_dumps, None, clean_submissions, "submissions")
     rows, joined_seen = observed(flag_matches(comments, submissions, dedupe), match_counts(), "join")
     month = F.date_format(epoch_date(F.col("created_utc")), "yyyy-MM")
     joined = write_table(
         rows.drop("matched").withColumn("month", month), f"{out}/joined", by=["month"]
     )
-    counts = {
-        "comments": comment_seen.get, "submissions": submission_seen.get, "join": joined_seen.get
-    }
+    counts |= more | {"join": joined_seen.get}
     return joined.drop("month"), counts

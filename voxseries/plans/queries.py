@@ -147,6 +147,14 @@ def audit_raw_lines(spark, sf_dir):
     return A.audit(clean.flag_raw(X.comment_lines(spark, sf_dir)), A.raw_counts())
 
 
+@query(f"""WITH {X.COMMENT_LINES}, {_PARSED}, {_CLEAN_COMMENTS}
+SELECT (SELECT count(*) FROM comment_lines) AS total, (SELECT count(*) FROM comments) AS kept""")
+def audit_clean(spark, sf_dir):
+    """D4 over the second pass."""
+    lines = X.comment_lines(spark, sf_dir)
+    return A.clean_counts(lines, clean.clean_comments(lines))
+
+
 @query(f"""WITH {X.COMMENT_LINES}, {_PARSED}
 SELECT json_extract_string(j, '$.id') AS id, json_extract_string(j, '$.permalink') AS permalink
 FROM parsed WHERE j IS NOT NULL AND len(list_intersect(json_keys(j), ['id', 'permalink'])) = 2""")

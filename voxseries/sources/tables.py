@@ -5,10 +5,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def read_table(spark: SparkSession, path, schema: T.StructType) -> DataFrame:
+def read_table(
+    spark: SparkSession, path, schema: T.StructType, drop_unreadable: bool = False
+) -> DataFrame:
     """JSON lines under a directory, glob or list of both, with a declared schema: no
-    inference pass, months aligned by name, absent columns null."""
-    return spark.read.schema(schema).json(path, mode="PERMISSIVE")
+    inference pass, months aligned by name, absent columns null. An unreadable line is a row of
+    nulls, or dropped on request."""
+    mode = "DROPMALFORMED" if drop_unreadable else "PERMISSIVE"
+    return spark.read.schema(schema).json(path, mode=mode)
 
 
 def coerce_series(df: DataFrame, time_col: str | None = None, int_cols=()) -> DataFrame:
