@@ -13,7 +13,12 @@ def one(spark, value, expr, kind="string"):
 
 
 def variant(spark, token, expr):
-    return one(spark, token, lambda c: expr(F.try_parse_json(c)))
+    """``expr`` of a JSON value, given as text and as a variant."""
+    def of(c):
+        typed = F.try_parse_json(c)
+        return expr(F.try_variant_get(typed, "$", "string"), typed)
+
+    return one(spark, token, of)
 
 
 def test_strip_removes_all_unicode_space(spark):
@@ -39,7 +44,7 @@ def test_placeholder(spark, given, want):
 
 @pytest.mark.parametrize("given,want", [
     ("1735689600.9", 1735689600), ('"1735689600.0"', 1735689600), ('" 12 "', 12), ('"x"', None),
-    ("null", None), ('"NaN"', None), ('"1.0d"', None), ("-1.9", -1), ("1e30", None), ("true", 1),
+    ("null", None), ('"NaN"', None), ('"1.0d"', None), ("-1.9", -1), ("1e30", None), ("true", 1), ('"true"', None),
     ("1735689600", 1735689600), ('"1e3"', 1000), ("[1]", None),
 ])
 def test_epoch(spark, given, want):
@@ -48,7 +53,7 @@ def test_epoch(spark, given, want):
 
 @pytest.mark.parametrize("given,want", [
     ("5.7", 5), ('"5"', 5), ('"5.7"', 0), ("null", 0), ('"junk"', 0), ("-2.9", -2), ('" -3 "', -3),
-    ("false", 0), ("{}", 0),
+    ("false", 0), ("{}", 0), ("true", 1), ('"true"', 0), ("1e3", 1000), ('"1e3"', 0), ("-0.5", 0),
 ])
 def test_score(spark, given, want):
     assert variant(spark, given, numbers.to_score) == want
@@ -56,10 +61,10 @@ def test_score(spark, given, want):
 
 @pytest.mark.parametrize("given,legacy,want", [
     ("null", False, None), ("null", True, "None"), ("true", True, "True"), ("5", False, "5"),
-    ('" a "', False, " a "),
+    ('" a "', False, " a "), ('"true"', False, "true"),
 ])
-def test_variant_text(spark, given, legacy, want):
-    assert variant(spark, given, lambda c: numbers.variant_text(c, legacy)) == want
+def test_json_text(spark, given, legacy, want):
+    assert variant(spark, given, lambda c, v: numbers.json_text(c, v, legacy)) == want
 
 
 @pytest.mark.parametrize("given,want", [

@@ -10,19 +10,18 @@ _INT_TEXT = r"^[+-]?\d+$"
 _LONG_LIMIT = 9.2e18
 
 
-def variant_kind(col: Column) -> Column:
-    """``STRING``, ``BIGINT``, ``DECIMAL(p,s)``, ``BOOLEAN``, ``VOID`` ... of a variant."""
-    return F.schema_of_variant(col)
-
-
-def variant_text(col: Column, legacy_none: bool = False) -> Column:
-    """Text of a variant. JSON null stays null, or becomes ``None`` with ``legacy_none``;
-    booleans are spelled ``True`` and ``False``."""
-    text = F.try_variant_get(col, "$", "string")
-    text = F.when(variant_kind(col) == "BOOLEAN", F.initcap(text)).otherwise(text)
+def json_text(text: Column, typed: Column, legacy_none: bool = False) -> Column:
+    """Text of a JSON value. Booleans are spelled ``True`` and ``False``; null stays null, or
+    becomes ``None`` with ``legacy_none``.
+
+    ``text`` is the value as a string and ``typed`` the same value as a variant. The variant is
+    only looked at where the string leaves the type open, so it costs nothing on ordinary rows.
+    """
+    flag = text.isin("true", "false") & (F.schema_of_variant(typed) == "BOOLEAN")
+    out = F.when(flag, F.initcap(text))
     if legacy_none:
-        text = F.when(F.is_variant_null(col), F.lit("None")).otherwise(text)
-    return text
+        out = out.when(text.isNull(), "None")
+    return out.otherwise(text)
 
 
 def _truncate(number: Column) -> Column:
@@ -31,30 +30,26 @@ def _truncate(number: Column) -> Column:
     return F.when(fits, number).cast("bigint")
 
 
-def _variant_number(col: Column) -> Column:
-    kind = variant_kind(col)
-    flag = F.try_variant_get(col, "$", "boolean").cast("int").cast("double")
-    number = F.try_variant_get(col, "$", "double")
-    return F.when(kind == "BOOLEAN", flag).when(~kind.isin("STRING", "VOID"), number)
+def _flag(text: Column, typed: Column) -> Column:
+    """1 or 0 for a JSON boolean, else null."""
+    boolean = text.isin("true", "false") & (F.schema_of_variant(typed) == "BOOLEAN")
+    return F.when(boolean, F.when(text == "true", 1).otherwise(0)).cast("bigint")
 
 
-def to_epoch(col: Column) -> Column:
-    """Whole seconds from a variant number or numeric text, truncated toward zero; else null."""
-    text = strip(F.try_variant_get(col, "$", "string"))
-    parsed = F.when(text.rlike(_FLOAT_TEXT), text).try_cast("double")
-    return F.when(variant_kind(col) == "STRING", _truncate(parsed)).otherwise(
-        _truncate(_variant_number(col))
-    )
+def to_epoch(text: Column, typed: Column) -> Column:
+    """Whole seconds from a JSON number or numeric text, truncated toward zero; else null."""
+    bare = strip(text)
+    number = F.when(bare.rlike(_FLOAT_TEXT), bare).try_cast("double")
+    return F.coalesce(_truncate(number), _flag(text, typed))
 
 
-def to_score(col: Column) -> Column:
-    """Whole number from a variant: numbers truncate, integer text parses, all else is 0."""
-    text = strip(F.try_variant_get(col, "$", "string"))
-    parsed = F.when(text.rlike(_INT_TEXT), text).try_cast("bigint")
-    value = F.when(variant_kind(col) == "STRING", parsed).otherwise(
-        _truncate(_variant_number(col))
-    )
-    return F.coalesce(value, F.lit(0).cast("bigint"))
+def to_score(text: Column, typed: Column) -> Column:
+    """Whole number from a JSON value: numbers truncate, integer text parses, all else is 0."""
+    bare = strip(text)
+    whole = F.when(bare.rlike(_INT_TEXT), bare).try_cast("bigint")
+    quoted = F.schema_of_variant(typed) == "STRING"
+    number = F.when(bare.rlike(_FLOAT_TEXT) & ~quoted, bare).try_cast("double")
+    return F.coalesce(whole, _truncate(number), _flag(text, typed), F.lit(0).cast("bigint"))
 
 
 def clean_percent(col: Column, strict: bool = False) -> Column:

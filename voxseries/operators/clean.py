@@ -4,50 +4,58 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from voxseries import constants as K
-from voxseries.functions.numbers import to_epoch, to_score, variant_text
+from voxseries.functions.numbers import json_text, to_epoch, to_score
 from voxseries.functions.text import in_set, is_placeholder, strip, strip_prefix
 
 
 _SPACES = " \t\r\n"
+_OPTIONS = {"columnNameOfCorruptRecord": "_broken", "allowSingleQuotes": "false"}
 
 
-def _looks_like_object(col):
-    """Both JSON readers stop at the end of the first value, so its outer marks are checked too."""
-    text = F.btrim(col, F.lit(_SPACES))
-    return F.startswith(text, F.lit("{")) & F.endswith(text, F.lit("}"))
+def _read(lines: DataFrame, keys) -> DataFrame:
+    """Each line beside the wanted keys as text, and ``_broken`` where it is not sound JSON.
 
+    The fields leave through a generator: predicates on them then stay above it, so that each
+    line is read once however many filters follow.
+    """
+    layout = ", ".join(f"{k} string" for k in [*keys, "_broken"])
+    return lines.select("value", F.inline(F.array(F.from_json("value", layout, _OPTIONS))))
 
-def _records(lines: DataFrame, keys) -> DataFrame:
-    """The wanted keys of each JSON object as variants, absent keys as SQL null.
 
-    The values leave through a generator: predicates on them then stay above it, so that each
-    line is parsed once however many filters follow.
-    """
-    record = F.try_parse_json(F.try_validate_utf8("value"))
-    parsed = lines.select(F.when(_looks_like_object("value"), record).alias("_record"))
-    values = [F.try_variant_get("_record", f"$.{k}", "variant").alias(k) for k in keys]
-    return parsed.select(F.inline(F.array(F.struct(*values))))
+def _sound():
+    """A readable JSON object. The reader stops at the end of the first value of a line, so the
+    line's outer marks are checked too."""
+    text = F.btrim("value", F.lit(_SPACES))
+    braced = F.startswith(text, F.lit("{")) & F.endswith(text, F.lit("}"))
+    return braced & F.col("_broken").isNull() & F.is_valid_utf8("value")
 
 
-def _candidates(lines: DataFrame, values, legacy_none: bool) -> DataFrame:
-    """Lines whose community may be wanted.
+def _typed(key: str):
+    """One value with its JSON type, from a parse of the whole record: for odd rows only."""
+    return F.try_variant_get(F.try_parse_json("value"), f"$.{key}", "variant")
 
-    Reading one field as plain text is about three times cheaper than building the whole
-    record, and nearly every line of a dump ends here. It accepts every line the full parse
-    accepts, so none is lost.
-    """
+
+def _candidates(lines: DataFrame, values, legacy_none: bool) -> DataFrame:
+    """Lines whose community may be wanted, by a read of that one field: nearly every line of
+    a dump ends here."""
     if legacy_none and "none" in values:
         return lines
-    community = F.from_json("value", "subreddit string")["subreddit"]
-    return lines.filter(in_set(community, values))
+    return lines.filter(in_set(F.from_json("value", "subreddit string")["subreddit"], values))
 
 
 def require_keys(lines: DataFrame, keys) -> DataFrame:
-    """Records that are objects and carry every key; a JSON null counts as carried."""
-    table = _records(lines, keys)
+    """``value`` and the keys as text, for records that are objects and carry every key.
+
+    A JSON null counts as carried. The names of a record's keys are only listed where a value
+    is null.
+    """
+    table = _read(lines, keys)
+    missing = F.array_except(F.array(*map(F.lit, keys)), F.json_object_keys("value"))
+    some_null = F.lit(False)
     for key in keys:
-        table = table.filter(F.col(key).isNotNull())
-    return table
+        some_null = some_null | F.col(key).isNull()
+    carried = F.when(some_null, F.size(missing) == 0).otherwise(True)
+    return table.filter(_sound() & carried).select("value", *keys)
 
 
 def flag_raw(lines: DataFrame, values=K.COMMUNITIES, text_key: str | None = "body") -> DataFrame:
@@ -57,22 +65,16 @@ def flag_raw(lines: DataFrame, values=K.COMMUNITIES, text_key: str | None = "bod
     own, a missing key as empty. ``text_key=None`` skips the test for removed text, as for
     submissions.
     """
-    names = ["subreddit"] + ([text_key] if text_key else [])
-    layout = ", ".join(f"{n} string" for n in [*names, "_broken"])
-    options = {"columnNameOfCorruptRecord": "_broken", "allowSingleQuotes": "false"}
-    read = F.from_json("value", layout, options)
-    table = lines.select("value", F.inline(F.array(read)))
-    sound = _looks_like_object("value") & F.col("_broken").isNull() & F.is_valid_utf8("value")
+    table = _read(lines, ["subreddit"] + ([text_key] if text_key else []))
     said = F.lit(True)
     if text_key:
         # Only a parse of the whole record tells a null from a missing key.
-        key = F.try_variant_get(F.try_parse_json("value"), f"$.{text_key}", "variant")
         text = F.col(text_key)
-        said = F.when(text.isNotNull(), ~is_placeholder(text)).otherwise(key.isNotNull())
+        said = F.when(text.isNotNull(), ~is_placeholder(text)).otherwise(_typed(text_key).isNotNull())
     # The cheap test comes first; the others then run on few lines unless ``bad`` is asked for.
-    kept = F.when(in_set(F.col("subreddit"), values, trim=False), sound & said)
+    kept = F.when(in_set(F.col("subreddit"), values, trim=False), _sound() & said)
     return table.select(
-        "value", F.coalesce(kept, F.lit(False)).alias("kept"), (~sound).alias("bad")
+        "value", F.coalesce(kept, F.lit(False)).alias("kept"), (~_sound()).alias("bad")
     )
 
 
@@ -90,21 +92,23 @@ def clean_comments(
     stays; by default it stays null, and a null body drops the row. ``trim=False`` takes the
     community untrimmed, as the first filter does: it then stands for both passes in one.
     """
-    raw = require_keys(_candidates(lines, values, legacy_none), K.COMMENT_KEYS)
+    if not trim:
+        lines = _candidates(lines, values, legacy_none)
+    raw = require_keys(lines, K.COMMENT_KEYS)
 
     def text(key):
-        return variant_text(F.col(key), legacy_none)
+        return json_text(F.col(key), _typed(key), legacy_none)
 
-    community, body = strip(text("subreddit")), strip(text("body"))
+    body = strip(text("body"))
     wanted = in_set(text("subreddit"), values, trim) & ~is_placeholder(body)
     typed = raw.filter(wanted).select(
         text("id").alias("id"),
         strip_prefix(strip(text("link_id")), K.THREAD_PREFIX).alias("link_id_short"),
         text("parent_id").alias("parent_id"),
-        F.lower(community).alias("subreddit"),
+        F.lower(strip(text("subreddit"))).alias("subreddit"),
         strip(text("author")).alias("author"),
-        to_epoch(F.col("created_utc")).alias("created_utc"),
-        to_score(F.col("score")).alias("score"),
+        to_epoch(F.col("created_utc"), _typed("created_utc")).alias("created_utc"),
+        to_score(F.col("score"), _typed("score")).alias("score"),
         body.alias("body"),
         strip(text("permalink")).alias("permalink"),
     )
@@ -115,12 +119,17 @@ def clean_submissions(
     lines: DataFrame, values=K.COMMUNITIES, legacy_none: bool = False, trim: bool = True
 ) -> DataFrame:
     """Typed submissions from raw lines. Titles are not tested for placeholders."""
-    raw = require_keys(_candidates(lines, values, legacy_none), K.SUBMISSION_KEYS)
-    community = variant_text(F.col("subreddit"), legacy_none)
-    return raw.filter(in_set(community, values, trim)).select(
-        variant_text(F.col("id"), legacy_none).alias("id"),
-        F.lower(strip(community)).alias("subreddit"),
-        strip(variant_text(F.col("title"), legacy_none)).alias("title"),
+    if not trim:
+        lines = _candidates(lines, values, legacy_none)
+    raw = require_keys(lines, K.SUBMISSION_KEYS)
+
+    def text(key):
+        return json_text(F.col(key), _typed(key), legacy_none)
+
+    return raw.filter(in_set(text("subreddit"), values, trim)).select(
+        text("id").alias("id"),
+        F.lower(strip(text("subreddit"))).alias("subreddit"),
+        strip(text("title")).alias("title"),
     )
 
 

@@ -159,8 +159,7 @@ def audit_clean(spark, sf_dir):
 SELECT json_extract_string(j, '$.id') AS id, json_extract_string(j, '$.permalink') AS permalink
 FROM parsed WHERE j IS NOT NULL AND len(list_intersect(json_keys(j), ['id', 'permalink'])) = 2""")
 def require_keys(spark, sf_dir):
-    rows = clean.require_keys(X.comment_lines(spark, sf_dir), ["id", "permalink"])
-    return rows.select(*[F.try_variant_get(c, "$", "string").alias(c) for c in rows.columns])
+    return clean.require_keys(X.comment_lines(spark, sf_dir), ["id", "permalink"]).drop("value")
 
 
 @query(f"""SELECT doc_id, source, lang FROM documents
