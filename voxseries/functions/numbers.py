@@ -24,10 +24,10 @@ def json_text(text: Column, typed: Column, legacy_none: bool = False) -> Column:
     return out.otherwise(text)
 
 
-def _truncate(number: Column) -> Column:
-    """Double to long, toward zero; null where it is not finite or does not fit."""
-    fits = ~F.isnan(number) & (F.abs(number) < _LONG_LIMIT)
-    return F.when(fits, number).cast("bigint")
+def _truncate(text: Column) -> Column:
+    """Number text to long, toward zero; null where it does not fit."""
+    number = text.try_cast("double")
+    return F.when(F.abs(number) < _LONG_LIMIT, number).cast("bigint")
 
 
 def _flag(text: Column, typed: Column) -> Column:
@@ -39,8 +39,7 @@ def _flag(text: Column, typed: Column) -> Column:
 def to_epoch(text: Column, typed: Column) -> Column:
     """Whole seconds from a JSON number or numeric text, truncated toward zero; else null."""
     bare = strip(text)
-    number = F.when(bare.rlike(_FLOAT_TEXT), bare).try_cast("double")
-    return F.coalesce(_truncate(number), _flag(text, typed))
+    return F.coalesce(F.when(bare.rlike(_FLOAT_TEXT), _truncate(bare)), _flag(text, typed))
 
 
 def to_score(text: Column, typed: Column) -> Column:
@@ -48,8 +47,8 @@ def to_score(text: Column, typed: Column) -> Column:
     bare = strip(text)
     whole = F.when(bare.rlike(_INT_TEXT), bare).try_cast("bigint")
     quoted = F.schema_of_variant(typed) == "STRING"
-    number = F.when(bare.rlike(_FLOAT_TEXT) & ~quoted, bare).try_cast("double")
-    return F.coalesce(whole, _truncate(number), _flag(text, typed), F.lit(0).cast("bigint"))
+    number = F.when(bare.rlike(_FLOAT_TEXT) & ~quoted, _truncate(bare))
+    return F.coalesce(whole, number, _flag(text, typed), F.lit(0).cast("bigint"))
 
 
 def clean_percent(col: Column, strict: bool = False) -> Column:
