@@ -17,15 +17,12 @@ def strip(col: Column) -> Column:
 
 def strip_prefix(col: Column, prefix: str) -> Column:
     """Drop one leading ``prefix``; other text is left as it is."""
-    return F.when(
-        F.startswith(col, F.lit(prefix)), F.substr(col, F.lit(len(prefix) + 1))
-    ).otherwise(col)
+    return F.regexp_replace(col, "^" + re.escape(prefix), "")
 
 
 def in_set(col: Column, values, trim: bool = True) -> Column:
     """Case-insensitive membership; an empty text is never a member."""
-    text = F.lower(strip(col) if trim else col)
-    return text.isin(list(values)) & (text != "")
+    return F.lower(strip(col) if trim else col).isin([v for v in values if v])
 
 
 def is_placeholder(col: Column, tokens=K.PLACEHOLDERS) -> Column:

@@ -40,7 +40,7 @@ def _candidates(lines: DataFrame, values, legacy_none: bool) -> DataFrame:
     a dump ends here."""
     if legacy_none and "none" in values:
         return lines
-    return lines.filter(in_set(F.from_json("value", "subreddit string")["subreddit"], values))
+    return _read(lines, ["subreddit"]).filter(in_set(F.col("subreddit"), values)).select("value")
 
 
 def require_keys(lines: DataFrame, keys) -> DataFrame:
@@ -94,25 +94,24 @@ def clean_comments(
     """
     if not trim:
         lines = _candidates(lines, values, legacy_none)
-    raw = require_keys(lines, K.COMMENT_KEYS)
-
-    def text(key):
-        return json_text(F.col(key), _typed(key), legacy_none)
-
-    body = strip(text("body"))
-    wanted = in_set(text("subreddit"), values, trim) & ~is_placeholder(body)
-    typed = raw.filter(wanted).select(
-        text("id").alias("id"),
-        strip_prefix(strip(text("link_id")), K.THREAD_PREFIX).alias("link_id_short"),
-        text("parent_id").alias("parent_id"),
-        F.lower(strip(text("subreddit"))).alias("subreddit"),
-        strip(text("author")).alias("author"),
-        to_epoch(F.col("created_utc"), _typed("created_utc")).alias("created_utc"),
+    stripped = ["link_id", "author", "body", "permalink"]
+    epoch = to_epoch(F.col("created_utc"), _typed("created_utc")).alias("_epoch")
+    table = _texts(
+        require_keys(lines, K.COMMENT_KEYS), ["id", "parent_id", "subreddit"], stripped,
+        legacy_none, keep=["value", "score"], also=[epoch],
+    )
+    wanted = in_set(F.col("subreddit"), values, trim) & ~is_placeholder(F.col("body"))
+    return table.filter(wanted & F.col("_epoch").isNotNull()).select(
+        "id",
+        strip_prefix(F.col("link_id"), K.THREAD_PREFIX).alias("link_id_short"),
+        "parent_id",
+        F.lower(strip(F.col("subreddit"))).alias("subreddit"),
+        "author",
+        F.col("_epoch").alias("created_utc"),
         to_score(F.col("score"), _typed("score")).alias("score"),
-        body.alias("body"),
-        strip(text("permalink")).alias("permalink"),
+        "body",
+        "permalink",
     )
-    return typed.filter(F.col("created_utc").isNotNull())
 
 
 def clean_submissions(
@@ -121,16 +120,22 @@ def clean_submissions(
     """Typed submissions from raw lines. Titles are not tested for placeholders."""
     if not trim:
         lines = _candidates(lines, values, legacy_none)
-    raw = require_keys(lines, K.SUBMISSION_KEYS)
+    table = _texts(
+        require_keys(lines, K.SUBMISSION_KEYS), ["id", "subreddit"], ["title"], legacy_none
+    )
+    return table.filter(in_set(F.col("subreddit"), values, trim)).select(
+        "id", F.lower(strip(F.col("subreddit"))).alias("subreddit"), "title"
+    )
 
+
+def _texts(raw: DataFrame, plain, stripped, legacy_none: bool, keep=(), also=()) -> DataFrame:
+    """Text columns of required records, again through a generator, so that the filters that
+    follow do not repeat their making."""
     def text(key):
         return json_text(F.col(key), _typed(key), legacy_none)
 
-    return raw.filter(in_set(text("subreddit"), values, trim)).select(
-        text("id").alias("id"),
-        F.lower(strip(text("subreddit"))).alias("subreddit"),
-        strip(text("title")).alias("title"),
-    )
+    made = [text(k).alias(k) for k in plain] + [strip(text(k)).alias(k) for k in stripped]
+    return raw.select(*keep, F.inline(F.array(F.struct(*made, *also))))
 
 
 def drop_blank(df: DataFrame, col: str) -> DataFrame:
