@@ -137,9 +137,7 @@ def _next_pass(threshold: int, step: int):
                 h, whole = depth.hashes(data)
                 core = depth.long(h, threshold - step + 1) if step > 1 else whole
                 todo = part.column("todo")
-                todo = pa.concat_arrays([todo]) if todo.offset else todo
-                sizes = np.diff(todo.offsets.to_numpy())
-                values = todo.values[todo.offsets[0].as_py():]
+                sizes, values = todo.value_lengths().to_numpy(), todo.flatten()
                 fields = {n: values.field(n).to_numpy(zero_copy_only=False) for n in ("lo", "hi", "anchor", "g")}
                 doc = np.repeat(np.arange(len(sizes)), sizes)
                 lo, hi, anchor = (fields[n].astype(np.int64) for n in ("lo", "hi", "anchor"))
