@@ -131,13 +131,14 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang", smoothing: fl
 
     labelled = docs.select(text, lang).filter(F.col(lang).isNotNull())
     counts = labelled.mapInArrow(count, schema).groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
-    table = counts.limit((MOST_LANGUAGES + 1) * BUCKETS).toPandas()
-    names = sorted(table["lang"].unique())
+    table = counts.limit((MOST_LANGUAGES + 1) * BUCKETS).toArrow()
+    names = sorted(table["lang"].unique().to_pylist())
     if len(names) > MOST_LANGUAGES:
         raise ValueError(f"more than {MOST_LANGUAGES} languages")
     totals = np.zeros((BUCKETS, len(names)))
     place = {name: j for j, name in enumerate(names)}
-    totals[table["bucket"].to_numpy(np.int64), table["lang"].map(place).to_numpy(np.int64)] = table["n"].to_numpy()
+    at = np.array([place[name] for name in table["lang"].to_pylist()], np.int64)
+    totals[table["bucket"].to_numpy().astype(np.int64), at] = table["n"].to_numpy()
     seen = max(int((totals.sum(axis=1) > 0).sum()), 1)
     return Model(names, np.log((totals + smoothing) / (totals.sum(axis=0) + smoothing * seen)))
 

@@ -18,7 +18,7 @@ from voxseries.llm.common import Stages, mix, pair_hash, text_bytes, text_slices
 from voxseries.llm.components import components
 
 #: Slots of the document frequencies: the table's size does not depend on the data.
-SLOTS = 1 << 20
+SLOTS = 1 << 19
 #: Hash ranges of the suffix filter.
 RANGES = 16
 
@@ -87,9 +87,9 @@ def frequencies(docs: DataFrame, words: int) -> np.ndarray:
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_pydict({"slot": pa.array(at, pa.int32()), "n": pa.array(total[at], pa.int64())})
 
-    table = docs.select("text").mapInArrow(run, "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n")).toPandas()
+    table = docs.select("text").mapInArrow(run, "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
     out = np.zeros(SLOTS, np.int64)
-    out[table["slot"].to_numpy(np.int64)] = table["n"].to_numpy()
+    out[table["slot"].to_numpy().astype(np.int64)] = table["n"].to_numpy()
     return out
 
 
