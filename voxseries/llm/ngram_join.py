@@ -19,6 +19,8 @@ from voxseries.llm.components import components
 
 #: Slots of the document frequencies: the table's size does not depend on the data.
 SLOTS = 1 << 19
+#: Hash slots by which documents in question are found.
+ASKED = 1 << 20
 #: Hash ranges of the suffix filter.
 RANGES = 16
 
@@ -93,11 +95,26 @@ def frequencies(docs: DataFrame, words: int) -> np.ndarray:
     return out
 
 
-_SETS = ("doc_id long, n long, a long, b long, central double, spread array<int>, grams array<long>")
+_LIGHT = "doc_id long, n int, a long, b long, central byte, spread array<short>, head array<long>"
+_WHOLE = "doc_id long, a long, b long, grams array<long>"
 
 
-def sets(docs: DataFrame, words: int, counts: np.ndarray) -> DataFrame:
-    """Each document's n-grams in the global order, a digest (a, b) of the set, how common they are, and their spread."""
+def _digests(owner: np.ndarray, grams: np.ndarray, n: int) -> tuple[np.ndarray, pa.Array, pa.Array]:
+    """(ends of the documents' n-grams, a, b): two sums of hashes tell sets apart."""
+    ends = np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=n))]).astype(np.int64)
+
+    def summed(values: np.ndarray) -> pa.Array:
+        totals = np.concatenate([np.zeros(1, np.uint64), np.cumsum(values, dtype=np.uint64)])
+        return pa.array((totals[ends[1:]] - totals[ends[:-1]]).view(np.int64))
+
+    return ends, summed(mix(grams)), summed(mix(grams ^ np.uint64(0xA5A5A5A55A5A5A5A)))
+
+
+def light_sets(docs: DataFrame, words: int, percent: int, counts: np.ndarray) -> DataFrame:
+    """Of each document's n-grams: their number, digest, how common they are, spread over hash ranges, and the prefix.
+
+    The prefix is the first n - ceil(n * percent / 100) + 1 in the global order; none where no other set can be near.
+    """
     sent = docs.sparkSession.sparkContext.broadcast(counts.astype(np.uint32))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -106,26 +123,40 @@ def sets(docs: DataFrame, words: int, counts: np.ndarray) -> DataFrame:
             for part in text_slices(batch, "text"):
                 owner, grams = shingles_of(part.column("text"), words)
                 n = part.num_rows
-                sizes = np.bincount(owner, minlength=n)
+                ends, a, b = _digests(owner, grams, n)
+                sizes = np.diff(ends)
                 common = counts[(grams & np.uint64(SLOTS - 1)).astype(np.int64)]
                 order = np.lexsort((grams, common, owner))
-                ends = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
-
-                def summed(values: np.ndarray) -> np.ndarray:
-                    totals = np.concatenate([np.zeros(1, values.dtype), np.cumsum(values, dtype=values.dtype)])
-                    return totals[ends[1:]] - totals[ends[:-1]]
-
+                # A set of n has a partner of another set only if n / (n + 1) is similar enough.
+                heads = np.where(sizes * 100 >= (sizes + 1) * percent, sizes - (sizes * percent + 99) // 100 + 1, 0)
+                place = np.arange(len(grams)) - np.repeat(ends[:-1], sizes)
+                head = grams[order][place < np.repeat(heads, sizes)]
+                rarity = np.bincount(owner, np.log2(common + 1.0), minlength=n) / np.maximum(sizes, 1)
                 spread = np.bincount(owner * RANGES + (grams >> np.uint64(60)).astype(np.int64), minlength=n * RANGES)
                 yield pa.RecordBatch.from_pydict({
-                    "doc_id": part.column("doc_id").cast(pa.int64()), "n": pa.array(sizes, pa.int64()),
-                    "a": pa.array(summed(mix(grams)).view(np.int64)),
-                    "b": pa.array(summed(mix(grams ^ np.uint64(0xA5A5A5A55A5A5A5A))).view(np.int64)),
-                    "central": pa.array(summed(np.log2(common + 1.0)) / np.maximum(sizes, 1)),
+                    "doc_id": part.column("doc_id").cast(pa.int64()), "n": pa.array(sizes.astype(np.int32)), "a": a, "b": b,
+                    "central": pa.array(np.minimum(rarity * 8, 127).astype(np.int8)),
                     "spread": pa.ListArray.from_arrays(np.arange(0, n * RANGES + 1, RANGES, dtype=np.int32),
-                                                       pa.array(spread, pa.int32())),
-                    "grams": pa.ListArray.from_arrays(ends, pa.array(grams[order].view(np.int64)))})
+                                                       pa.array(np.minimum(spread, 32767).astype(np.int16))),
+                    "head": pa.ListArray.from_arrays(
+                        np.concatenate([[0], np.cumsum(heads)]).astype(np.int32), pa.array(head.view(np.int64)))})
+
+    return docs.mapInArrow(run, _LIGHT)
+
 
-    return docs.mapInArrow(run, _SETS)
+def whole_sets(docs: DataFrame, words: int) -> DataFrame:
+    """All n-grams of documents, with the digest of the set."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in text_slices(batch, "text"):
+                owner, grams = shingles_of(part.column("text"), words)
+                ends, a, b = _digests(owner, grams, part.num_rows)
+                yield pa.RecordBatch.from_pydict({
+                    "doc_id": part.column("doc_id").cast(pa.int64()), "a": a, "b": b,
+                    "grams": pa.ListArray.from_arrays(ends.astype(np.int32), pa.array(grams.view(np.int64)))})
+
+    return docs.mapInArrow(run, _WHOLE)
 
 
 def _ceil(numerator: Column, denominator: int) -> Column:
@@ -137,75 +168,74 @@ class _Join:
     """One run of the join: tables are written once and shared by its steps."""
 
     def __init__(self, docs: DataFrame, words: int, percent: int):
-        self.percent, self.spark = percent, docs.sparkSession
+        self.docs, self.words, self.percent, self.spark = docs, words, percent, docs.sparkSession
         self.stages = Stages(self.spark, "ngram-join")
         counts = frequencies(docs, words)
         self.sets = self.stages.write(
-            sets(docs, words, counts).withColumn("row", F.monotonically_increasing_id()), "sets")
-        self.classes = self.stages.write(
-            self.sets.filter("n > 0").groupBy("a", "b", "n")
-            .agg(F.min("row").alias("cls"), F.min("doc_id").alias("low")), "classes")
+            light_sets(docs, words, percent, counts).withColumn("row", F.monotonically_increasing_id()), "sets")
+        groups = self.sets.filter("n > 0").groupBy("a", "b", "n").agg(F.min("row").alias("cls"), F.min("doc_id").alias("low"))
+        groups = self.stages.write(groups, "groups")
+        own = self.sets.select("row", "central", "spread", "head")
+        self.classes = self.stages.write(groups.join(own, groups["cls"] == own["row"]).drop("row"), "classes")
 
     def prefixes(self) -> DataFrame:
-        """(gram, cls, n, pos, central) of the first n-grams of each class that can have a partner, pos from 0.
-
-        A set of n has a partner of another set only if n / (n + 1) is similar enough.
-        """
-        p = self.percent
-        least = (_ceil(F.col("n") * p, 100)).cast("int")
-        heads = (self.sets.filter(F.col("n") * 100 >= (F.col("n") + 1) * p)
-                 .select("row", "n", "central", F.slice("grams", F.lit(1), F.col("n").cast("int") - least + 1).alias("head")))
-        mine = self.classes.select(F.col("cls").alias("row"))
-        heads = heads.join(mine, "row", "left_semi")
-        return heads.select(F.col("row").alias("cls"), "n", "central", F.posexplode("head").alias("pos", "gram"))
+        """(gram, cls, n, pos, central) of the prefix of each class, pos from 0."""
+        return self.classes.select("cls", "n", "central", F.posexplode("head").alias("pos", "gram"))
 
     def fits(self, n: Column, pos: Column, other_n: Column, other_pos: Column) -> Column:
         """Length and positional filter: what is left after the shared n-gram must reach the overlap asked."""
         p = self.percent
-        need = _ceil((n + other_n) * p, 100 + p)
-        return ((F.least(n, other_n) * 100 >= F.greatest(n, other_n) * p)
+        need = _ceil((n + other_n).cast("long") * p, 100 + p)
+        return ((F.least(n, other_n).cast("long") * 100 >= F.greatest(n, other_n).cast("long") * p)
                 & (F.least(n - pos, other_n - other_pos) >= need))
 
-    def verify(self, pairs: DataFrame) -> DataFrame:
-        """(x, y, linked) of distinct pairs; x is the side with many partners. Whole sets are compared.
+    def verify(self, pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """(linked pairs, all pairs looked at); x is the side with many partners. Whole sets are compared, once a pair.
 
-        Sets are found by a hash of the class in at most SLOTS values, a bounded broadcast, so only sets in question move.
+        Sets are made again from the texts in question: those whose id falls in a hash slot that is asked for. The slots are
+        a broadcast of at most ASKED numbers.
         """
         p = self.percent
         pairs = self.stages.write(pairs.select("x", "y").distinct(), "pairs")
-        slot = lambda c: F.pmod(F.xxhash64(c), F.lit(SLOTS))
-        asked = pairs.select(F.explode(F.array("x", "y")).alias("c")).select(slot("c").alias("slot")).distinct()
-        some = self.stages.write(
-            self.sets.withColumn("slot", slot("row")).join(F.broadcast(asked), "slot", "left_semi")
-            .select(F.col("row").alias("c"), "n", "spread", "grams"), "asked")
+        light = self.classes.select("cls", "n", "spread", "a", "b", "low")
+        side = lambda s: light.select(*[F.col(c).alias(s if c == "cls" else f"{c}_{s}") for c in light.columns])
+        both = pairs.join(side("y"), "y").join(side("x"), "x")
         # The suffix filter needs no n-grams: ranges that differ by more than the slack rule a pair out.
-        light = some.select("c", "n", "spread")
-        one = pairs.join(light.select(F.col("c").alias("y"), F.col("n").alias("ny"), F.col("spread").alias("sy")), "y")
-        two = one.join(light.select(F.col("c").alias("x"), F.col("n").alias("nx"), F.col("spread").alias("sx")), "x")
-        apart = F.aggregate(F.zip_with("sx", "sy", lambda a, b: F.abs(a - b)), F.lit(0), lambda a, b: a + b)
-        need = _ceil((F.col("nx") + F.col("ny")) * p, 100 + p)
-        likely = self.stages.write(two.filter(apart <= F.col("nx") + F.col("ny") - 2 * need).select("x", "y"), "likely")
-        ys = some.select(F.col("c").alias("y"), F.col("n").alias("ny"), F.col("grams").alias("gy"))
-        xs = some.select(F.col("c").alias("x"), F.col("n").alias("nx"), F.col("grams").alias("gx"))
-        both = likely.join(ys, "y").join(xs, "x")
-        shared = F.size(F.array_intersect("gx", "gy"))
-        out = self.stages.write(both.select("x", "y", "nx", "ny", shared.alias("shared")).filter(
-            F.col("shared") * 100 >= (F.col("nx") + F.col("ny") - F.col("shared")) * p).select("x", "y"), "links")
+        apart = F.aggregate(F.zip_with("spread_x", "spread_y", lambda a, b: F.abs(a.cast("int") - b.cast("int"))),
+                            F.lit(0), lambda a, b: a + b)
+        need = _ceil((F.col("n_x") + F.col("n_y")).cast("long") * p, 100 + p)
+        likely = self.stages.write(both.filter(apart <= F.col("n_x") + F.col("n_y") - 2 * need)
+                                   .drop("spread_x", "spread_y"), "likely")
+        slot = lambda c: F.pmod(F.xxhash64(c), F.lit(ASKED))
+        asked = likely.select(F.explode(F.array("low_x", "low_y")).alias("low")).select(slot("low").alias("slot")).distinct()
+        some = (self.docs.withColumn("slot", slot("doc_id")).join(F.broadcast(asked), "slot", "left_semi")
+                .select("doc_id", "text"))
+        some = self.stages.write(whole_sets(some, self.words), "asked")
+
+        def with_grams(rows: DataFrame, s: str) -> DataFrame:
+            # A repeated row (same id, same set) only repeats a pair.
+            on = ((F.col(f"a_{s}") == F.col("a")) & (F.col(f"b_{s}") == F.col("b"))
+                  & F.col(f"low_{s}").eqNullSafe(F.col("doc_id")))
+            return rows.join(some, on).drop("a", "b", "doc_id").withColumnRenamed("grams", f"grams_{s}")
+
+        compared = with_grams(with_grams(likely, "y"), "x").select(
+            "x", "y", "n_x", "n_y", F.size(F.array_intersect("grams_x", "grams_y")).alias("shared"))
+        linked = F.col("shared").cast("long") * 100 >= (F.col("n_x") + F.col("n_y") - F.col("shared")).cast("long") * p
+        out = self.stages.write(compared.filter(linked).select("x", "y"), "links")
         self.stages.drop(some)
-        self.stages.drop(likely)
         return out, pairs
 
     def run(self) -> DataFrame:
         stages = self.stages
         entries = stages.write(self.prefixes(), "entries")
         # An n-gram in one prefix only finds nobody.
-        shared = entries.groupBy("gram").agg(F.count("*").alias("m"), F.max(F.struct("central", "cls", "n", "pos")).alias("hub"))
-        shared = stages.write(shared.filter("m > 1").select("gram", "hub"), "shared")
-        live = stages.write(entries.join(shared.select("gram"), "gram", "left_semi"), "live")
+        shared = stages.write(entries.groupBy("gram").agg(F.count("*").alias("m")).filter("m > 1").select("gram"), "shared")
+        live = stages.write(entries.join(shared, "gram", "left_semi"), "live")
         stages.drop(entries)
+        hubs = stages.write(live.groupBy("gram").agg(F.max(F.struct("central", "cls", "n", "pos")).alias("hub")), "hubs")
         # First each class meets the most common one of its n-gram's classes: in a group of copies nearly all link to it,
         # and pairs inside a component need no look.
-        e, h = live, shared
+        e, h = live, hubs
         first = (e.join(h, "gram").filter(F.col("cls") != F.col("hub.cls"))
                  .filter(self.fits(F.col("n"), F.col("pos"), F.col("hub.n"), F.col("hub.pos")))
                  .select(F.col("hub.cls").alias("x"), F.col("cls").alias("y")))
@@ -219,7 +249,7 @@ class _Join:
         open_ = stages.write(known.join(mixed.select("gram"), "gram", "left_semi"), "open")
         p = self.percent
         # Of a pair the shorter one shows the n-gram in its shorter indexing prefix.
-        head = F.col("pos") <= F.col("n") - _ceil(F.col("n") * 2 * p, 100 + p)
+        head = F.col("pos") <= F.col("n") - _ceil(F.col("n").cast("long") * 2 * p, 100 + p)
         a = open_.filter(head).select("gram", F.col("cls").alias("y"), F.col("n").alias("ny"), F.col("pos").alias("py"),
                                       F.col("label").alias("ly"))
         b = open_.select("gram", F.col("cls").alias("x"), F.col("n").alias("nx"), F.col("pos").alias("px"),
@@ -240,7 +270,7 @@ class _Join:
         classes = stages.write(placed.join(least, "label").select("a", "b", "size", "component_id"), "components")
         slim = self.sets.select("row", "doc_id", "n", "a", "b")
         s = slim.join(classes, (slim["a"] == classes["a"]) & (slim["b"] == classes["b"]) & (slim["n"] == classes["size"]), "left")
-        return s.select("row", "doc_id", F.col("n").alias("n_shingles"),
+        return s.select("row", "doc_id", F.col("n").cast("long").alias("n_shingles"),
                         F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
 
 
