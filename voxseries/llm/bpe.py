@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from voxseries.llm.common import replaced, text_slices
+from voxseries.llm.common import replaced, text_slices, tidy
 
 #: Fixed value: the published pattern that splits text before the merges.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -392,7 +392,7 @@ def encode(df: DataFrame, path: str, text: str = "text", ids: str = "ids", packe
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = load(path)
         for batch in batches:
-            for part in text_slices(batch, text):
+            for part in text_slices(batch, text, 1 << 19):
                 coded = bpe.encode([t or "" for t in part.column(text).to_pylist()])
                 if packed:
                     values = pa.array(coded, pa.binary())
@@ -401,7 +401,7 @@ def encode(df: DataFrame, path: str, text: str = "text", ids: str = "ids", packe
                     values = pa.ListArray.from_arrays(ends, np.frombuffer(b"".join(coded), "<i4"))
                 yield replaced(part, arrow, {ids: values.cast(arrow.field(ids).type)})
 
-    return out.mapInArrow(run, schema)
+    return out.mapInArrow(tidy(run), schema)
 
 
 def decode(df: DataFrame, path: str, ids: str = "ids", text: str = "decoded") -> DataFrame:
@@ -430,4 +430,4 @@ def decode(df: DataFrame, path: str, ids: str = "ids", text: str = "decoded") ->
                                  .decode("utf-8", "replace"))
                 yield replaced(part, arrow, {text: pa.array(texts, arrow.field(text).type)})
 
-    return out.mapInArrow(run, schema)
+    return out.mapInArrow(tidy(run), schema)

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -47,8 +48,26 @@ class Stages:
         path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def text_slices(batch: pa.RecordBatch, column: str, size: int = 1 << 20) -> Iterator[pa.RecordBatch]:
-    """Slices of a batch with about `size` bytes in one string column (at least one row each)."""
+def tidy(run: Callable) -> Callable:
+    """A task over Arrow batches that gives its memory back at the end: idle Python workers then hold little of it."""
+
+    def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+            if trim is not None:
+                trim(0)
+
+    return wrapped
+
+
+def text_slices(batch: pa.RecordBatch, column: str, size: int = 1 << 18) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch with about `size` bytes in one string column (at least one row each).
+
+    What a task makes of texts is many times their size, so small slices bound its memory.
+    """
     lengths = batch.column(column).cast(pa.large_string()).buffers()
     if batch.num_rows == 0:
         return

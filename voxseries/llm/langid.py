@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from voxseries.llm.common import replaced, text_slices
+from voxseries.llm.common import replaced, text_slices, tidy
 
 #: Trigrams are hashed to this many buckets: the size of a model does not depend on the data.
 BUCKETS = 1 << 16
@@ -130,7 +130,7 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang", smoothing: fl
                  "n": pa.array(total[at], pa.int64())})
 
     labelled = docs.select(text, lang).filter(F.col(lang).isNotNull())
-    counts = labelled.mapInArrow(count, schema).groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
+    counts = labelled.mapInArrow(tidy(count), schema).groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
     table = counts.limit((MOST_LANGUAGES + 1) * BUCKETS).toArrow()
     names = sorted(table["lang"].unique().to_pylist())
     if len(names) > MOST_LANGUAGES:
@@ -163,4 +163,4 @@ def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
                     "lang_pred": pa.array(names, arrow.field("lang_pred").type),
                     "lang_score": pa.array(score), "lang_count": pa.array(chosen)})
 
-    return out.mapInArrow(run, schema)
+    return out.mapInArrow(tidy(run), schema)

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from voxseries.llm.common import Stages, mix, pair_hash, text_bytes, text_slices
+from voxseries.llm.common import Stages, mix, pair_hash, text_bytes, text_slices, tidy
 from voxseries.llm.components import components
 
 #: Slots of the document frequencies: the table's size does not depend on the data.
@@ -89,7 +89,7 @@ def frequencies(docs: DataFrame, words: int) -> np.ndarray:
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_pydict({"slot": pa.array(at, pa.int32()), "n": pa.array(total[at], pa.int64())})
 
-    table = docs.select("text").mapInArrow(run, "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
+    table = docs.select("text").mapInArrow(tidy(run), "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
     out = np.zeros(SLOTS, np.int64)
     out[table["slot"].to_numpy().astype(np.int64)] = table["n"].to_numpy()
     return out
@@ -141,7 +141,7 @@ def light_sets(docs: DataFrame, words: int, percent: int, counts: np.ndarray) ->
                     "head": pa.ListArray.from_arrays(
                         np.concatenate([[0], np.cumsum(heads)]).astype(np.int32), pa.array(head.view(np.int64)))})
 
-    return docs.mapInArrow(run, _LIGHT)
+    return docs.mapInArrow(tidy(run), _LIGHT)
 
 
 def whole_sets(docs: DataFrame, words: int) -> DataFrame:
@@ -156,7 +156,7 @@ def whole_sets(docs: DataFrame, words: int) -> DataFrame:
                     "doc_id": part.column("doc_id").cast(pa.int64()), "a": a, "b": b,
                     "grams": pa.ListArray.from_arrays(ends.astype(np.int32), pa.array(grams.view(np.int64)))})
 
-    return docs.mapInArrow(run, _WHOLE)
+    return docs.mapInArrow(tidy(run), _WHOLE)
 
 
 def _ceil(numerator: Column, denominator: int) -> Column:

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from voxseries.llm.bpe import Bpe
-from voxseries.llm.common import text_slices
+from voxseries.llm.common import text_slices, tidy
 
 SHARD_IDS = 1 << 20
 #: A pair is replaced while it occurs this often in its shard; a round replaces this many kinds of pairs.
@@ -188,7 +188,7 @@ def shards(docs: DataFrame, path: str, end_id: int | None = 0, id_column: str =
             return pa.RecordBatch.from_pylist([row], schema=_SHARD_ARROW)
 
         for batch in batches:
-            for piece in text_slices(batch, "text"):
+            for piece in text_slices(batch, "text", 1 << 19):
                 for name, c in zip(piece.column("id").to_pylist(), bpe.encode([t or "" for t in piece.column("text").to_pylist()])):
                     names.append(name)
                     coded.append(c + tail)
@@ -204,7 +204,7 @@ def shards(docs: DataFrame, path: str, end_id: int | None = 0, id_column: str =
     rows = docs.select(F.col(id_column).cast("long").alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     rows = rows.withColumn("tie", F.xxhash64("text"))
     ordered = rows.repartitionByRange("id", "tie").sortWithinPartitions("id", "tie").select("id", "text")
-    return ordered.mapInArrow(run, SHARD)
+    return ordered.mapInArrow(tidy(run), SHARD)
 
 
 _SHARD_ARROW = pa.schema([
@@ -239,4 +239,4 @@ def read_documents(written: DataFrame, id_column: str = "doc_id") -> DataFrame:
                         "ids": pa.array(coded, pa.binary())})
 
     return written.join(offsets, "part").mapInArrow(
-        run, f"{id_column} long, start long, n_tokens long, ids_crc32 long, ids binary")
+        tidy(run), f"{id_column} long, start long, n_tokens long, ids_crc32 long, ids binary")

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from voxseries.llm.common import Stages, pair_hash, text_bytes, text_slices
+from voxseries.llm.common import Stages, pair_hash, text_bytes, text_slices, tidy
 
 STEP = 12
 #: Hash slots by which the documents in question are found: a broadcast of at most so many numbers.
@@ -132,7 +132,7 @@ def _next_pass(threshold: int, step: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         depth = Depth(threshold)
         for batch in batches:
-            for part in text_slices(batch, "text", 1 << 20):
+            for part in text_slices(batch, "text"):
                 data, offsets = text_bytes(part.column("text"))
                 h, whole = depth.hashes(data)
                 core = depth.long(h, threshold - step + 1) if step > 1 else whole
@@ -210,7 +210,7 @@ def remove_repeats(docs: DataFrame, threshold: int, id_column: str = "doc_id", t
         slots = ranges.select(_slot().alias("slot")).distinct()
         return rows.withColumn("slot", _slot()).join(F.broadcast(slots), "slot", how).drop("slot")
 
-    records = stages.write(rows.select(*_KEY, "text").mapInArrow(_first_pass(threshold), _RECORD), "records")
+    records = stages.write(rows.select(*_KEY, "text").mapInArrow(tidy(_first_pass(threshold)), _RECORD), "records")
     done, todo = _settle(stages, records, False)
     parts = [done]
     for step in (STEP, 1):
@@ -220,7 +220,7 @@ def remove_repeats(docs: DataFrame, threshold: int, id_column: str = "doc_id", t
         listed = stages.write(listed, "todo")
         # Rows alike in id and text have the same ranges twice; one of them is enough to make the records of both.
         asked = picked(listed, "left_semi").select(*_KEY, "text").join(listed, _KEY)
-        records = stages.write(asked.mapInArrow(_next_pass(threshold, step), _RECORD), "records")
+        records = stages.write(asked.mapInArrow(tidy(_next_pass(threshold, step)), _RECORD), "records")
         done, todo = _settle(stages, records, step == 1)
         parts.append(done)
     found = parts[0]
@@ -250,7 +250,7 @@ def remove_repeats(docs: DataFrame, threshold: int, id_column: str = "doc_id", t
                                   "kept": raw[~gone].tobytes()})
                 yield pa.RecordBatch.from_pylist(lines, schema=_cut_schema(part.schema.field("own").type))
 
-    touched = picked(spans, "left_semi").join(spans, _KEY, "left").select("own", "text", "windows").mapInArrow(cut, out)
+    touched = picked(spans, "left_semi").join(spans, _KEY, "left").select("own", "text", "windows").mapInArrow(tidy(cut), out)
     clean = picked(spans, "left_anti").select(
         "own", F.octet_length("text").cast("long").alias("n_bytes"), F.lit(0).cast("long").alias("n_removed"),
         F.array().cast("array<struct<start:long,end:long>>").alias("spans"), F.col("text").cast("binary").alias("kept"))
