@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -28,18 +30,26 @@ def _quoted(text: str) -> str:
     return "".join("\\" + c if not c.isalnum() and c != "_" else c for c in text)
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """Bind a value, so that lambdas use it without making it again for each element."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def prefix_sums(sizes: Column) -> Column:
     """For each element the sum of those before it: sums of whole steps first, so long arrays stay near linear."""
-    n = F.size(sizes)
-    steps = F.transform(F.sequence(F.lit(0), F.floor((n - 1) / _STEP).cast("int")),
-                        lambda j: F.aggregate(F.slice(sizes, j * _STEP + 1, F.lit(_STEP)), F.lit(0).cast("long"),
-                                              lambda a, x: a + x))
-    heads = F.transform(F.sequence(F.lit(0), F.floor((n - 1) / _STEP).cast("int")),
-                        lambda j: F.aggregate(F.slice(steps, F.lit(1), j), F.lit(0).cast("long"), lambda a, x: a + x))
-    return F.transform(
-        sizes, lambda x, i: F.get(heads, F.floor(i / _STEP).cast("int")) + F.aggregate(
-            F.slice(sizes, F.floor(i / _STEP).cast("int") * _STEP + 1, i % _STEP), F.lit(0).cast("long"),
-            lambda a, y: a + y))
+    total = lambda x: F.aggregate(x, F.lit(0).cast("long"), lambda a, y: a + y)
+
+    def chunks(all_sizes: Column) -> Column:
+        last = F.floor((F.size(all_sizes) - 1) / _STEP).cast("int")
+        return F.transform(F.sequence(F.lit(0), last), lambda j: F.slice(all_sizes, j * _STEP + 1, F.lit(_STEP)))
+
+    def spread(parts: Column) -> Column:
+        heads = let(F.transform(parts, total), lambda sums: F.transform(
+            sums, lambda x, j: total(F.slice(sums, F.lit(1), j))))
+        return F.flatten(F.zip_with(parts, heads, lambda part, head: F.transform(
+            part, lambda x, i: head + total(F.slice(part, F.lit(1), i)))))
+
+    return let(sizes, lambda bound: let(chunks(bound), spread))
 
 
 def format_chats(turns: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text",
@@ -55,24 +65,26 @@ def format_chats(turns: DataFrame, conv: str = "conv_id", turn: str = "turn", ro
                     F.coalesce(F.col(text), F.lit("")).alias("text"))
     grouped = turns.groupBy(conv).agg(F.sort_array(F.collect_list(item)).alias("turns"))
 
-    def mark(t: Column, i: Column) -> Column:
-        before = F.get("turns", i - 1)
-        head = F.concat(F.lit(START), escape(t["role"]), F.lit(ROLE))
-        return F.when(i == 0, head).when(before["role"] == t["role"], F.lit(NEXT)).otherwise(F.concat(F.lit(END), head))
-
-    # F.when keeps a one-row Generate out: both arrays are made once, in a projection of their own.
-    marked = grouped.select(
-        F.col(conv), F.col("turns"), F.transform("turns", mark).alias("marks"),
-        F.transform("turns", lambda t: escape(t["text"])).alias("texts"))
-    sizes = F.zip_with("marks", "texts", lambda m, t: (F.length(m) + F.length(t)).cast("long"))
-    laid = marked.withColumn("sizes", sizes).withColumn("starts", prefix_sums(F.col("sizes")))
-    spans = F.transform("turns", lambda t, i: F.struct(
-        (F.get("starts", i) + F.length(F.get("marks", i))).cast("int").alias("start"),
-        F.length(F.get("texts", i)).alias("size"), (t["role"] == trained).alias("trained")))
-    return laid.select(
-        conv, F.concat(F.array_join(F.zip_with("marks", "texts", lambda m, t: F.concat(m, t)), ""), F.lit(END))
-        .alias("formatted"),
-        F.transform(F.filter(spans, lambda s: s["trained"]), lambda s: F.struct(s["start"], s["size"])).alias("loss_spans"))
+    def marks(all_turns: Column) -> Column:
+        def mark(t: Column, i: Column) -> Column:
+            head = F.concat(F.lit(START), escape(t["role"]), F.lit(ROLE))
+            return F.when(i == 0, head).when(F.get(all_turns, i - 1)["role"] == t["role"], F.lit(NEXT)).otherwise(
+                F.concat(F.lit(END), head))
+        return F.transform(all_turns, mark)
+
+    def lay(all_turns: Column) -> Column:
+        pieces = F.arrays_zip(marks(all_turns).alias("mark"), F.transform(all_turns, lambda t: escape(t["text"])).alias("text"),
+                              F.transform(all_turns, lambda t: t["role"] == trained).alias("trained"))
+        return let(pieces, lambda ps: F.struct(
+            F.concat(F.array_join(F.transform(ps, lambda p: F.concat(p["mark"], p["text"])), ""), F.lit(END)).alias("formatted"),
+            F.transform(F.filter(F.zip_with(ps, prefix_sums(F.transform(
+                ps, lambda p: (F.length(p["mark"]) + F.length(p["text"])).cast("long"))), lambda p, at: F.struct(
+                    (at + F.length(p["mark"])).cast("int").alias("start"), F.length(p["text"]).alias("size"),
+                    p["trained"].alias("trained"))), lambda x: x["trained"]),
+                lambda x: F.struct(x["start"], x["size"])).alias("loss_spans")))
+
+    laid = grouped.select(conv, let(F.col("turns"), lay).alias("laid"))
+    return laid.select(conv, "laid.formatted", "laid.loss_spans")
 
 
 def read_turns(formatted: Column) -> Column:
@@ -89,4 +101,5 @@ def read_turns(formatted: Column) -> Column:
 
 def masked_text(formatted: Column, spans: Column) -> Column:
     """All text under the loss mask, unescaped, nothing between."""
-    return F.array_join(F.transform(spans, lambda s: unescape(F.substr(formatted, s["start"] + 1, s["size"]))), "")
+    return let(formatted, lambda text: F.array_join(
+        F.transform(spans, lambda s: unescape(F.substr(text, s["start"] + 1, s["size"]))), ""))
