@@ -6,10 +6,17 @@ from pyspark.sql import functions as F
 from voxseries import constants as K
 
 
+_FIRST_SECOND, _LAST_SECOND = -62135596800, 253402300799
+
+
 def epoch_date(seconds: Column, zone: str = "UTC") -> Column:
-    """Calendar date of an epoch second in ``zone``, whatever the session zone is."""
+    """Calendar date of an epoch second in ``zone``, whatever the session zone is.
+
+    Null outside the years 1 to 9999, as for an epoch in milliseconds; it never raises.
+    """
     start = F.to_timestamp_ntz(F.lit("1970-01-01 00:00:00"))
-    utc = start + F.make_dt_interval(secs=seconds)
+    known = F.when(seconds.between(_FIRST_SECOND, _LAST_SECOND), seconds)
+    utc = start + F.make_dt_interval(secs=known)
     return F.convert_timezone(F.lit("UTC"), F.lit(zone), utc).cast("date")
 
 

@@ -7,7 +7,7 @@ from voxseries.functions.text import strip
 
 _FLOAT_TEXT = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
 _INT_TEXT = r"^[+-]?\d+$"
-_LONG_LIMIT = 9.2e18
+_LONG_MOST = 9223372036854775807
 
 
 def json_text(text: Column, typed: Column, legacy_none: bool = False) -> Column:
@@ -25,9 +25,11 @@ def json_text(text: Column, typed: Column, legacy_none: bool = False) -> Column:
 
 
 def _truncate(text: Column) -> Column:
-    """Number text to long, toward zero; null where it does not fit."""
+    """Number text to long, toward zero. What a long cannot hold becomes the nearest one it can."""
     number = text.try_cast("double")
-    return F.when(F.abs(number) < _LONG_LIMIT, number).cast("bigint")
+    beyond = F.when(F.abs(number) == float("inf"), None).when(number > 0, _LONG_MOST).when(
+        number < 0, -_LONG_MOST - 1)
+    return F.coalesce(text.try_cast("decimal(38,18)").try_cast("bigint"), beyond)
 
 
 def _flag(text: Column, typed: Column) -> Column:
@@ -45,7 +47,7 @@ def to_epoch(text: Column, typed: Column) -> Column:
 def to_score(text: Column, typed: Column) -> Column:
     """Whole number from a JSON value: numbers truncate, integer text parses, all else is 0."""
     bare = strip(text)
-    whole = F.when(bare.rlike(_INT_TEXT), bare).try_cast("bigint")
+    whole = F.when(bare.rlike(_INT_TEXT), _truncate(bare))
     quoted = F.schema_of_variant(typed) == "STRING"
     number = F.when(bare.rlike(_FLOAT_TEXT) & ~quoted, _truncate(bare))
     return F.coalesce(whole, number, _flag(text, typed), F.lit(0).cast("bigint"))

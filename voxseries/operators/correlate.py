@@ -18,6 +18,13 @@ def measures_long(pairs: DataFrame, by, measures=K.MEASURES, y: str = "poll") ->
     return wide.unpivot([*by, "y"], list(measures), "measure", "x")
 
 
+def match(left: DataFrame, right: DataFrame, keys, how: str = "inner") -> DataFrame:
+    """Join on keys that may be null; each key once in the result."""
+    renamed = right.withColumnsRenamed({k: f"_other_{k}" for k in keys})
+    on = [F.col(k).eqNullSafe(F.col(f"_other_{k}")) for k in keys]
+    return left.join(renamed, on, how).drop(*[f"_other_{k}" for k in keys])
+
+
 def rank_series(df: DataFrame, by, cols) -> DataFrame:
     """Average rank of each column inside its group, ties sharing their mean rank.
 
@@ -45,14 +52,15 @@ def value_ranks(counted: DataFrame, by, col: str, bands: int = 128) -> DataFrame
     marks = [i / bands for i in range(1, bands)]
     cuts = counts.groupBy(*by).agg(F.percentile_approx(col, marks).alias("_cuts"))
     band = F.size(F.filter("_cuts", lambda cut: cut < F.col(col)))
-    banded = counts.join(cuts, list(by)).select(*by, col, "_n", band.alias("_band"))
+    banded = match(counts, cuts, list(by)).select(*by, col, "_n", band.alias("_band"))
 
     below = Window.partitionBy(*by).orderBy("_band").rowsBetween(Window.unboundedPreceding, -1)
     starts = banded.groupBy(*by, "_band").agg(F.sum("_n").alias("_size")).select(
         *by, "_band", F.coalesce(F.sum("_size").over(below), F.lit(0)).alias("_start")
     )
     upto = Window.partitionBy(*by, "_band").orderBy(col).rowsBetween(Window.unboundedPreceding, 0)
-    placed = banded.withColumn("_upto", F.sum("_n").over(upto)).join(starts, [*by, "_band"])
+    placed = banded.withColumn("_upto", F.sum("_n").over(upto))
+    placed = match(placed, starts, [*by, "_band"])
     rank = F.col("_start") + F.col("_upto") - (F.col("_n") - 1) / 2
     return placed.select(*by, col, rank.alias(f"{col}_rank"))
 
@@ -60,19 +68,17 @@ def value_ranks(counted: DataFrame, by, col: str, bands: int = 128) -> DataFrame
 def _large_spearman(complete: DataFrame, keys, min_n: int) -> DataFrame:
     """Spearman without a window over a whole group."""
     folded = complete.groupBy(*keys, "x", "y").agg(F.count(F.lit(1)).alias("_n"))
-    ranked = folded.join(value_ranks(folded, keys, "x"), [*keys, "x"])
-    ranked = ranked.join(value_ranks(folded, keys, "y"), [*keys, "y"])
-    w, a, b = F.col("_n"), F.col("x_rank"), F.col("y_rank")
+    ranked = match(folded, value_ranks(folded, keys, "x"), [*keys, "x"])
+    ranked = match(ranked, value_ranks(folded, keys, "y"), [*keys, "y"])
+    # Ranks are centred on their known mean before they are multiplied: a constant column is exactly 0.
+    ranked = match(ranked, folded.groupBy(*keys).agg(F.sum("_n").alias("_all")), keys)
+    mean = (F.col("_all") + 1) / 2
+    w, a, b = F.col("_n"), F.col("x_rank") - mean, F.col("y_rank") - mean
     sums = ranked.groupBy(*keys).agg(
-        F.sum(w).alias("_w"), F.sum(w * a).alias("_a"), F.sum(w * b).alias("_b"),
-        F.sum(w * a * a).alias("_aa"), F.sum(w * b * b).alias("_bb"), F.sum(w * a * b).alias("_ab"),
+        F.sum(w).alias("_w"), F.sum(w * a * a).alias("_aa"), F.sum(w * b * b).alias("_bb"),
+        F.sum(w * a * b).alias("_ab"),
     )
-
-    def centred(product, first, second):
-        return F.col(product) - F.col(first) * F.col(second) / F.col("_w")
-
-    spread = F.sqrt(centred("_aa", "_a", "_a")) * F.sqrt(centred("_bb", "_b", "_b"))
-    r = F.try_divide(centred("_ab", "_a", "_b"), spread)
+    r = F.try_divide(F.col("_ab"), F.sqrt("_aa") * F.sqrt("_bb"))
     return sums.select(*keys, F.when(F.col("_w") >= min_n, clamp(r, -1.0, 1.0)).alias("spearman"))
 
 
@@ -80,7 +86,7 @@ def pair_stats(long: DataFrame, by, min_n: int = 3, large_groups: bool = False)
     """Pearson, Spearman and pair count per group and measure.
 
     Nulls are set aside before anything is ranked. ``large_groups`` is for raw rows, where one
-    group may hold any share of the table; group columns must not be null there.
+    group may hold any share of the table. A null group is a group like any other.
     """
     keys = [*by, "measure"]
     complete = F.col("x").isNotNull() & F.col("y").isNotNull()
@@ -91,7 +97,7 @@ def pair_stats(long: DataFrame, by, min_n: int = 3, large_groups: bool = False)
     if large_groups:
         plain = long.groupBy(*keys).agg(*stats)
         spearman = _large_spearman(long.filter(complete), keys, min_n)
-        return plain.join(spearman, keys, "left").select(*keys, "pearson", "spearman", "n")
+        return match(plain, spearman, keys, "left").select(*keys, "pearson", "spearman", "n")
     pairs = long.withColumns({
         "x": F.when(complete, F.col("x")), "y": F.when(complete, F.col("y"))
     })

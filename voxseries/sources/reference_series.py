@@ -12,11 +12,25 @@ POLL_HEADER = ["date", *K.POLL_VALUES, "freq", "week"]
 PROBABILITY_HEADER = ["date", "lpc", "cpc"]
 
 
-def split_fields(lines: DataFrame, header) -> DataFrame:
-    """Whitespace-delimited text rows to string columns; the header row itself is left out."""
-    fields = F.split(strip(F.col("value")), r"\s+")
-    table = lines.select(*[F.get(fields, F.lit(i)).alias(name) for i, name in enumerate(header)])
-    return table.filter((F.col(header[0]) != header[0]) & (F.col(header[0]) != ""))
+def split_fields(lines: DataFrame, header, strict: bool = False) -> DataFrame:
+    """Whitespace-delimited text rows to string columns, by the names of the header row.
+
+    The header row is the one that holds the first name; it is left out. Without one, columns are
+    taken in the order of ``header``. A name that is missing raises with ``strict``, else its
+    column is null. These files are small; one row of them comes to the driver.
+    """
+    rows = lines.select(F.split(strip(F.col("value")), r"\s+").alias("_fields"))
+    is_header = F.array_contains("_fields", header[0])
+    found = rows.filter(is_header).first()
+    names = list(found["_fields"]) if found else list(header)
+    missing = [name for name in header if name not in names]
+    if missing and strict:
+        raise ValueError(f"columns not in the header row: {missing}")
+    table = rows.filter(~is_header & (F.get("_fields", F.lit(0)) != ""))
+    return table.select(*[
+        (F.lit(None).cast("string") if name in missing else F.get("_fields", F.lit(names.index(name)))).alias(name)
+        for name in header
+    ])
 
 
 def _typed(name: str, strict: bool) -> Column:
@@ -33,7 +47,7 @@ def _typed(name: str, strict: bool) -> Column:
 def parse_percent_table(lines: DataFrame, header=POLL_HEADER, strict: bool = False) -> DataFrame:
     """Dates, percents, granularity and week label from text rows. ``strict`` raises on a bad
     cell, the tolerant mode makes it null."""
-    table = split_fields(lines, header)
+    table = split_fields(lines, header, strict)
     return table.select(*[_typed(name, strict).alias(name) for name in header])
 
 
