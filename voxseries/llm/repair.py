@@ -57,45 +57,51 @@ def compress(ids: np.ndarray, docs: np.ndarray, base: int) -> tuple[np.ndarray,
     A round counts all pairs within documents, takes the most frequent kinds, and replaces their occurrences where the
     pair is at least as frequent as the overlapping ones to its left and right; others wait for the next round.
     """
-    symbols, owner, rules, total = ids.astype(np.int64), docs, [], base
+    symbols, owner, rules, total = ids.astype(np.int64), docs.astype(np.int32), [], base
     for _ in range(ROUNDS):
         if len(symbols) < 2:
             break
-        span = np.uint64(total)
-        keys = symbols[:-1].astype(np.uint64) * span + symbols[1:].astype(np.uint64)
+        keys = symbols[:-1] * np.int64(total) + symbols[1:]
         inside = owner[:-1] == owner[1:]
-        slot = ((keys * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(42)).astype(np.int64)
-        slot[~inside] = 0
-        rough = np.bincount(slot, minlength=1 << 22)
-        # A rough count is never below the true one: only pairs that can reach LEAST are counted exactly.
-        place = np.flatnonzero(inside & (rough[slot] >= LEAST))
-        kinds, kind, counts = np.unique(keys[place], return_inverse=True, return_counts=True)
-        chosen = np.flatnonzero(counts >= LEAST)
-        if not len(chosen):
+        ordered = np.sort(keys[inside])
+        new = np.ones(len(ordered), bool)
+        new[1:] = ordered[1:] != ordered[:-1]
+        edges = np.flatnonzero(new)
+        counts = np.diff(np.append(edges, len(ordered)))
+        often = np.flatnonzero(counts >= LEAST)
+        if not len(often):
             break
-        chosen = chosen[np.argsort(-counts[chosen], kind="stable")[:PAIRS]]
-        order = np.full(len(kinds), len(kinds), np.int64)
-        order[chosen] = np.arange(len(chosen))
-        grade = np.full(len(keys) + 2, len(kinds), np.int64)
-        grade[place + 1] = order[kind]
-        own = grade[1:-1]
-        take = (own < len(chosen)) & (own <= grade[:-2]) & (own <= grade[2:])
+        pairs = ordered[edges[often[np.argsort(-counts[often], kind="stable")[:PAIRS]]]]
+        # Of pairs in one hash slot the most frequent is looked up in this round, the others wait for the next.
+        _, first = np.unique(_slot(pairs), return_index=True)
+        pairs = pairs[np.sort(first)]
+        table = np.full(1 << 20, len(pairs), np.int32)
+        table[_slot(pairs)] = np.arange(len(pairs), dtype=np.int32)
+        grade = np.full(len(keys) + 2, len(pairs), np.int32)
+        own = table[_slot(keys)]
+        own[(np.append(pairs, -1)[own] != keys) | ~inside] = len(pairs)
+        grade[1:-1] = own
+        take = (own < len(pairs)) & (own <= grade[:-2]) & (own <= grade[2:])
         at = np.flatnonzero(take)
         starts = np.ones(len(at), bool)
         starts[1:] = at[1:] != at[:-1] + 1
         run = at[starts][np.cumsum(starts) - 1]
         at = at[(at - run) % 2 == 0]
-        used, new = np.unique(own[at], return_inverse=True)
-        pair = kinds[chosen[used]]
-        rules.append(np.stack([pair // span, pair % span], axis=1).astype(np.int64))
-        symbols[at] = total + new
+        used = np.bincount(own[at], minlength=len(pairs)) > 0
+        rules.append(np.stack([pairs[used] // total, pairs[used] % total], axis=1))
+        symbols[at] = total + (np.cumsum(used) - 1)[own[at]]
         keep = np.ones(len(symbols), bool)
         keep[at + 1] = False
         symbols, owner = symbols[keep], owner[keep]
-        total += len(used)
+        total += int(used.sum())
     return symbols, owner, np.concatenate(rules) if rules else np.zeros((0, 2), np.int64)
 
 
+def _slot(keys: np.ndarray) -> np.ndarray:
+    """One of 2**20 hash slots."""
+    return ((keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(44)).astype(np.int64)
+
+
 def expansions(rules: np.ndarray, base: int) -> np.ndarray:
     """The number of ids of each rule; a rule only names earlier ones."""
     sizes = np.ones(base + len(rules), np.int64)
@@ -140,6 +146,23 @@ class Shard:
         start = self.ends[i - 1] if i else 0
         return expand(self.symbols[start: self.ends[i]].astype(np.int64), self.rules, self.base)
 
+    def spelled(self) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all symbols one after the other, where each begins): for reading many documents."""
+        sizes = np.concatenate([np.ones(self.base, np.int64), self.sizes])
+        flat = expand(np.arange(len(sizes)), self.rules, self.base).astype("<u4")
+        return flat, np.cumsum(sizes) - sizes
+
+    def documents(self, lo: int, hi: int, flat: np.ndarray, begins: np.ndarray) -> list[bytes]:
+        """The packed ids of documents lo to hi - 1."""
+        symbols = self.symbols[self.ends[lo - 1] if lo else 0: self.ends[hi - 1]].astype(np.int64)
+        sizes = np.ones(len(symbols), np.int64)
+        high = symbols >= self.base
+        sizes[high] = self.sizes[symbols[high] - self.base]
+        ends = np.cumsum(sizes)
+        ids = flat[np.arange(ends[-1] if len(ends) else 0) + np.repeat(begins[symbols] - (ends - sizes), sizes)].tobytes()
+        cuts = np.concatenate([[0], np.cumsum(self.lengths[lo:hi])]) * 4
+        return [ids[a:b] for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist())]
+
     def token(self, i: int, at: int) -> int:
         """The id at a place of a document, by the expansion lengths: only one path of the grammar is walked."""
         start = self.ends[i - 1] if i else 0
@@ -226,9 +249,10 @@ def read_documents(written: DataFrame, id_column: str = "doc_id") -> DataFrame:
             for i in range(batch.num_rows):
                 row = batch.slice(i, 1).to_pylist()[0]
                 shard, at = Shard(row), row["offset"] + row["first"]
+                flat, begins = shard.spelled()
                 for lo in range(0, len(shard.doc_ids), 512):
                     some = range(lo, min(lo + 512, len(shard.doc_ids)))
-                    coded = [shard.document(j).astype("<u4").tobytes() for j in some]
+                    coded = shard.documents(lo, some.stop, flat, begins)
                     lengths = shard.lengths[lo: lo + 512]
                     starts = at + np.cumsum(lengths) - lengths
                     at += int(lengths.sum())
