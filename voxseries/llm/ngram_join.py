@@ -21,8 +21,8 @@ from voxseries.llm.components import components
 SLOTS = 1 << 19
 #: Hash slots by which documents in question are found.
 ASKED = 1 << 20
-#: Hash ranges of the suffix filter.
-RANGES = 16
+#: Hash ranges of the suffix filter: n-grams are counted in few, and in many it is only told if their number is odd.
+RANGES, WORDS_OF_BITS = 16, 8
 
 _RANDOM = np.random.default_rng(20240229)
 _BYTE = _RANDOM.integers(0, 1 << 64, 256, np.uint64)
@@ -95,7 +95,7 @@ def frequencies(docs: DataFrame, words: int) -> np.ndarray:
     return out
 
 
-_LIGHT = "doc_id long, n int, a long, b long, central byte, spread array<short>, head array<long>"
+_LIGHT = "doc_id long, n int, a long, b long, central byte, spread array<short>, odd array<long>, head array<long>"
 _WHOLE = "doc_id long, a long, b long, grams array<long>"
 
 
@@ -133,11 +133,16 @@ def light_sets(docs: DataFrame, words: int, percent: int, counts: np.ndarray) ->
                 head = grams[order][place < np.repeat(heads, sizes)]
                 rarity = np.bincount(owner, np.log2(common + 1.0), minlength=n) / np.maximum(sizes, 1)
                 spread = np.bincount(owner * RANGES + (grams >> np.uint64(60)).astype(np.int64), minlength=n * RANGES)
+                odd = np.bincount(owner * (WORDS_OF_BITS * 64) + (mix(grams) >> np.uint64(32)).astype(np.int64) % (WORDS_OF_BITS * 64),
+                                  minlength=n * WORDS_OF_BITS * 64) & 1
                 yield pa.RecordBatch.from_pydict({
                     "doc_id": part.column("doc_id").cast(pa.int64()), "n": pa.array(sizes.astype(np.int32)), "a": a, "b": b,
                     "central": pa.array(np.minimum(rarity * 8, 127).astype(np.int8)),
                     "spread": pa.ListArray.from_arrays(np.arange(0, n * RANGES + 1, RANGES, dtype=np.int32),
                                                        pa.array(np.minimum(spread, 32767).astype(np.int16))),
+                    "odd": pa.ListArray.from_arrays(
+                        np.arange(0, n * WORDS_OF_BITS + 1, WORDS_OF_BITS, dtype=np.int32),
+                        pa.array(np.packbits(odd.astype(np.uint8)).view(np.int64))),
                     "head": pa.ListArray.from_arrays(
                         np.concatenate([[0], np.cumsum(heads)]).astype(np.int32), pa.array(head.view(np.int64)))})
 
@@ -175,7 +180,7 @@ class _Join:
             light_sets(docs, words, percent, counts).withColumn("row", F.monotonically_increasing_id()), "sets")
         groups = self.sets.filter("n > 0").groupBy("a", "b", "n").agg(F.min("row").alias("cls"), F.min("doc_id").alias("low"))
         groups = self.stages.write(groups, "groups")
-        own = self.sets.select("row", "central", "spread", "head")
+        own = self.sets.select("row", "central", "spread", "odd", "head")
         self.classes = self.stages.write(groups.join(own, groups["cls"] == own["row"]).drop("row"), "classes")
 
     def prefixes(self) -> DataFrame:
@@ -189,6 +194,12 @@ class _Join:
         return ((F.least(n, other_n).cast("long") * 100 >= F.greatest(n, other_n).cast("long") * p)
                 & (F.least(n - pos, other_n - other_pos) >= need))
 
+    def may_link(self, n: Column, odd: Column, other_n: Column, other_odd: Column) -> Column:
+        """Suffix filter: sets of n-grams differ in at least as many members as there are ranges of differing parity."""
+        need = _ceil((n + other_n).cast("long") * self.percent, 100 + self.percent)
+        apart = sum((F.bit_count(odd[i].bitwiseXOR(other_odd[i])) for i in range(WORDS_OF_BITS)), F.lit(0))
+        return apart <= n + other_n - 2 * need
+
     def verify(self, pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
         """(linked pairs, all pairs looked at); x is the side with many partners. Whole sets are compared, once a pair.
 
@@ -197,7 +208,7 @@ class _Join:
         """
         p = self.percent
         pairs = self.stages.write(pairs.select("x", "y").distinct(), "pairs")
-        light = self.classes.select("cls", "n", "spread", "a", "b", "low")
+        light = self.classes.select("cls", "n", "spread", "odd", "a", "b", "low")
         side = lambda s: light.select(*[F.col(c).alias(s if c == "cls" else f"{c}_{s}") for c in light.columns])
         both = pairs.join(side("y"), "y").join(side("x"), "x")
         # The suffix filter needs no n-grams: ranges that differ by more than the slack rule a pair out.
@@ -205,7 +216,8 @@ class _Join:
                             F.lit(0), lambda a, b: a + b)
         need = _ceil((F.col("n_x") + F.col("n_y")).cast("long") * p, 100 + p)
         likely = self.stages.write(both.filter(apart <= F.col("n_x") + F.col("n_y") - 2 * need)
-                                   .drop("spread_x", "spread_y"), "likely")
+                                   .filter(self.may_link(F.col("n_x"), F.col("odd_x"), F.col("n_y"), F.col("odd_y")))
+                                   .drop("spread_x", "spread_y", "odd_x", "odd_y"), "likely")
         slot = lambda c: F.pmod(F.xxhash64(c), F.lit(ASKED))
         asked = likely.select(F.explode(F.array("low_x", "low_y")).alias("low")).select(slot("low").alias("slot")).distinct()
         some = (self.docs.withColumn("slot", slot("doc_id")).join(F.broadcast(asked), "slot", "left_semi")
@@ -244,19 +256,24 @@ class _Join:
         known = live.join(labels, live["cls"] == labels["node"], "left").select(
             "gram", "cls", "n", "pos", "central", F.coalesce("label", "cls").alias("label"))
         known = stages.write(known, "labelled")
+        stages.drop(live)
         # N-grams whose classes are all in one component are done.
         mixed = known.groupBy("gram").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi")
-        open_ = stages.write(known.join(mixed.select("gram"), "gram", "left_semi"), "open")
+        open_ = known.join(mixed.select("gram"), "gram", "left_semi")
+        parity = self.classes.select(F.col("cls").alias("of"), "odd")
+        open_ = stages.write(open_.join(parity, open_["cls"] == parity["of"]).drop("of", "central"), "open")
+        stages.drop(known)
         p = self.percent
         # Of a pair the shorter one shows the n-gram in its shorter indexing prefix.
         head = F.col("pos") <= F.col("n") - _ceil(F.col("n").cast("long") * 2 * p, 100 + p)
         a = open_.filter(head).select("gram", F.col("cls").alias("y"), F.col("n").alias("ny"), F.col("pos").alias("py"),
-                                      F.col("label").alias("ly"))
+                                      F.col("label").alias("ly"), F.col("odd").alias("oy"))
         b = open_.select("gram", F.col("cls").alias("x"), F.col("n").alias("nx"), F.col("pos").alias("px"),
-                         F.col("label").alias("lx"))
+                         F.col("label").alias("lx"), F.col("odd").alias("ox"))
         longer = (F.col("nx") > F.col("ny")) | ((F.col("nx") == F.col("ny")) & (F.col("x") > F.col("y")))
         pairs = a.join(b, (a["gram"] == b["gram"]) & (F.col("lx") != F.col("ly")) & longer
-                       & self.fits(F.col("nx"), F.col("px"), F.col("ny"), F.col("py"))).select("x", "y")
+                       & self.fits(F.col("nx"), F.col("px"), F.col("ny"), F.col("py"))
+                       & self.may_link(F.col("nx"), F.col("ox"), F.col("ny"), F.col("oy"))).select("x", "y")
         pairs = pairs.distinct()
         old = seen.select(F.col("x").alias("u"), F.col("y").alias("v"))
         old = old.union(old.select("v", "u"))
