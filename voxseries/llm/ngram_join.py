@@ -240,28 +240,28 @@ class _Join:
     def run(self) -> DataFrame:
         stages = self.stages
         entries = stages.write(self.prefixes(), "entries")
-        # An n-gram in one prefix only finds nobody.
-        shared = stages.write(entries.groupBy("gram").agg(F.count("*").alias("m")).filter("m > 1").select("gram"), "shared")
-        live = stages.write(entries.join(shared, "gram", "left_semi"), "live")
+        # An n-gram in one prefix only finds nobody. Else its hub is the most common one of its classes.
+        hubs = entries.groupBy("gram").agg(F.count("*").alias("m"), F.max(F.struct("central", "cls", "n", "pos")).alias("hub"))
+        hubs = stages.write(hubs.filter("m > 1").select(
+            "gram", *[F.col(f"hub.{c}").alias(f"hub_{c}") for c in ("cls", "n", "pos")]), "hubs")
+        live = stages.write(entries.join(hubs, "gram").drop("central"), "live")
         stages.drop(entries)
-        hubs = stages.write(live.groupBy("gram").agg(F.max(F.struct("central", "cls", "n", "pos")).alias("hub")), "hubs")
-        # First each class meets the most common one of its n-gram's classes: in a group of copies nearly all link to it,
-        # and pairs inside a component need no look.
-        e, h = live, hubs
-        first = (e.join(h, "gram").filter(F.col("cls") != F.col("hub.cls"))
-                 .filter(self.fits(F.col("n"), F.col("pos"), F.col("hub.n"), F.col("hub.pos")))
-                 .select(F.col("hub.cls").alias("x"), F.col("cls").alias("y")))
+        # First each class meets the hub: in a group of copies nearly all link to it, and pairs inside a component need no
+        # look.
+        first = (live.filter(F.col("cls") != F.col("hub_cls"))
+                 .filter(self.fits(F.col("n"), F.col("pos"), F.col("hub_n"), F.col("hub_pos")))
+                 .select(F.col("hub_cls").alias("x"), F.col("cls").alias("y")))
         links, seen = self.verify(first)
         labels = components(stages, links)
         known = live.join(labels, live["cls"] == labels["node"], "left").select(
-            "gram", "cls", "n", "pos", "central", F.coalesce("label", "cls").alias("label"))
+            "gram", "cls", "n", "pos", F.coalesce("label", "cls").alias("label"))
         known = stages.write(known, "labelled")
         stages.drop(live)
         # N-grams whose classes are all in one component are done.
         mixed = known.groupBy("gram").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi")
         open_ = known.join(mixed.select("gram"), "gram", "left_semi")
         parity = self.classes.select(F.col("cls").alias("of"), "odd")
-        open_ = stages.write(open_.join(parity, open_["cls"] == parity["of"]).drop("of", "central"), "open")
+        open_ = stages.write(open_.join(parity, open_["cls"] == parity["of"]).drop("of"), "open")
         stages.drop(known)
         p = self.percent
         # Of a pair the shorter one shows the n-gram in its shorter indexing prefix.
