@@ -41,10 +41,22 @@ class Stages:
         out._stage_path = path
         return out
 
-    def drop(self, df: DataFrame) -> None:
-        """Give a table's space back once every table made from it is written."""
-        jvm = self.spark._jvm
-        path = jvm.org.apache.hadoop.fs.Path(df._stage_path)
+    def drop(self, *tables: DataFrame) -> None:
+        """Give the space of tables back once every table made from them is written.
+
+        Shuffle files of finished jobs go too: Spark's cleaner removes them when a collection finds the jobs unreferenced.
+        """
+        for df in tables:
+            self._delete(df._stage_path)
+        self.spark._jvm.System.gc()
+
+    def clear(self) -> None:
+        """Drop all tables."""
+        self._delete(self.root)
+        self.spark._jvm.System.gc()
+
+    def _delete(self, name: str) -> None:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(name)
         path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
 

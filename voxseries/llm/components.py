@@ -23,8 +23,7 @@ def components(stages: Stages, edges: DataFrame) -> DataFrame:
         target = nearer.select(F.col("node").alias("at"), F.col("next").alias("jump"))
         moved = stages.write(nearer.join(target, nearer["next"] == target["at"]).select(
             "node", F.col("jump").alias("label"), (F.col("jump") != F.col("label")).alias("changed")), "moved")
-        for old in (labels, nearer):
-            stages.drop(old)
+        stages.drop(labels, nearer)
         if not moved.filter("changed").limit(1).count():
             stages.drop(both)
             return moved.select("node", "label")

@@ -181,11 +181,13 @@ class _Join:
         groups = self.sets.filter("n > 0").groupBy("a", "b", "n").agg(F.min("row").alias("cls"), F.min("doc_id").alias("low"))
         groups = self.stages.write(groups, "groups")
         own = self.sets.select("row", "central", "spread", "odd", "head")
-        self.classes = self.stages.write(groups.join(own, groups["cls"] == own["row"]).drop("row"), "classes")
-
-    def prefixes(self) -> DataFrame:
-        """(gram, cls, n, pos, central) of the prefix of each class, pos from 0."""
-        return self.classes.select("cls", "n", "central", F.posexplode("head").alias("pos", "gram"))
+        full = self.stages.write(groups.join(own, groups["cls"] == own["row"]).drop("row"), "full")
+        sets = self.stages.write(self.sets.select("row", "doc_id", "n", "a", "b"), "rows")
+        self.stages.drop(self.sets, groups)
+        #: (gram, cls, n, pos, central) of the prefix of each class, pos from 0.
+        self.entries = self.stages.write(full.select("cls", "n", "central", F.posexplode("head").alias("pos", "gram")), "entries")
+        self.sets, self.classes = sets, self.stages.write(full.drop("head", "central"), "classes")
+        self.stages.drop(full)
 
     def fits(self, n: Column, pos: Column, other_n: Column, other_pos: Column) -> Column:
         """Length and positional filter: what is left after the shared n-gram must reach the overlap asked."""
@@ -234,18 +236,17 @@ class _Join:
             "x", "y", "n_x", "n_y", F.size(F.array_intersect("grams_x", "grams_y")).alias("shared"))
         linked = F.col("shared").cast("long") * 100 >= (F.col("n_x") + F.col("n_y") - F.col("shared")).cast("long") * p
         out = self.stages.write(compared.filter(linked).select("x", "y"), "links")
-        self.stages.drop(some)
+        self.stages.drop(some, likely)
         return out, pairs
 
     def run(self) -> DataFrame:
-        stages = self.stages
-        entries = stages.write(self.prefixes(), "entries")
+        stages, entries = self.stages, self.entries
         # An n-gram in one prefix only finds nobody. Else its hub is the most common one of its classes.
         hubs = entries.groupBy("gram").agg(F.count("*").alias("m"), F.max(F.struct("central", "cls", "n", "pos")).alias("hub"))
         hubs = stages.write(hubs.filter("m > 1").select(
             "gram", *[F.col(f"hub.{c}").alias(f"hub_{c}") for c in ("cls", "n", "pos")]), "hubs")
         live = stages.write(entries.join(hubs, "gram").drop("central"), "live")
-        stages.drop(entries)
+        stages.drop(entries, hubs)
         # First each class meets the hub: in a group of copies nearly all link to it, and pairs inside a component need no
         # look.
         first = (live.filter(F.col("cls") != F.col("hub_cls"))
@@ -274,7 +275,8 @@ class _Join:
         pairs = a.join(b, (a["gram"] == b["gram"]) & (F.col("lx") != F.col("ly")) & longer
                        & self.fits(F.col("nx"), F.col("px"), F.col("ny"), F.col("py"))
                        & self.may_link(F.col("nx"), F.col("ox"), F.col("ny"), F.col("oy"))).select("x", "y")
-        pairs = pairs.distinct()
+        pairs = stages.write(pairs.distinct(), "across")
+        stages.drop(open_)
         old = seen.select(F.col("x").alias("u"), F.col("y").alias("v"))
         old = old.union(old.select("v", "u"))
         more, _ = self.verify(pairs.join(old, (F.col("x") == F.col("u")) & (F.col("y") == F.col("v")), "left_anti"))
@@ -285,6 +287,7 @@ class _Join:
         placed = stages.write(placed.select("a", "b", F.col("n").alias("size"), "low", "label"), "placed")
         least = placed.groupBy("label").agg(F.min("low").alias("component_id"))
         classes = stages.write(placed.join(least, "label").select("a", "b", "size", "component_id"), "components")
+        stages.drop(placed, self.classes, links)
         slim = self.sets.select("row", "doc_id", "n", "a", "b")
         s = slim.join(classes, (slim["a"] == classes["a"]) & (slim["b"] == classes["b"]) & (slim["n"] == classes["size"]), "left")
         return s.select("row", "doc_id", F.col("n").cast("long").alias("n_shingles"),
@@ -302,8 +305,11 @@ def link(docs: DataFrame, words: int = 5, percent: int = 80, id_column: str = "d
     with one hub first; after that only pairs across components are looked at, each once. Every such pair is looked at, so no
     connection is lost. Sets are 64-bit hashes; the driver sees a table of fixed size and one number per round.
     """
-    rows = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    return _Join(rows, words, percent).run()
+    return _Join(_rows(docs, id_column, text), words, percent).run()
+
+
+def _rows(docs: DataFrame, id_column: str, text: str) -> DataFrame:
+    return docs.select(F.col(id_column).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
 
 
 def drop_near_copies(docs: DataFrame, words: int = 5, percent: int = 80, id_column: str = "doc_id", text: str = "text",
@@ -312,7 +318,8 @@ def drop_near_copies(docs: DataFrame, words: int = 5, percent: int = 80, id_colu
 
     Documents to drop are found by id. Null ids are never dropped, as they cannot be told apart.
     """
-    linked = link(docs, words, percent, id_column, text)
-    stages = Stages(docs.sparkSession, "near-copies")
-    gone = stages.write(linked.filter("doc_id > component_id").select(F.col("doc_id").alias("__gone")).distinct(), "gone")
+    join = _Join(_rows(docs, id_column, text), words, percent)
+    gone = join.run().filter("doc_id > component_id").select(F.col("doc_id").alias("__gone")).distinct()
+    gone = Stages(docs.sparkSession, "near-copies").write(gone, "gone")
+    join.stages.clear()
     return docs.join(gone, docs[id_column] == gone["__gone"], "left_anti")
