@@ -331,7 +331,7 @@ def _training_rows(spark, sf_dir):
 @query()
 def classify_documents(spark, sf_dir):
     """The default classifier, trained on the labelled documents, over all of them."""
-    model = C.train_classifier(_training_rows(spark, sf_dir), "text", "label", features=1 << 14)
+    model = C.train_classifier(_training_rows(spark, sf_dir), "text", "label")
     docs = X.texts(spark, sf_dir, "documents", "doc_id", "text")
     return C.classify_with(docs, "text", model).select("doc_id", "trans_sentiment")
 
