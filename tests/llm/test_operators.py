@@ -106,6 +106,22 @@ def test_ngram_join(spark, odd, words, percent):
         assert ngram_join.link(documents(spark, []), words, percent).count() == 0
 
 
+def test_ngram_join_beside_long_words(spark):
+    """A word's hash does not depend on what shares its slice: copies of a long word's neighbours lie in other partitions."""
+    rng = random.Random(5)
+    body = [[f"w{rng.randrange(500)}" for _ in range(60)] for _ in range(6)]
+    long_word = "".join(rng.choice("ABCabc0189+/") for _ in range(5000))
+    first = [(k, " ".join(t)) for k, t in enumerate(body)] + [(6, long_word), (7, " ".join(body[0][:20]) + " " + long_word)]
+    near = [(10 + k, " ".join([*t[:-1], "edited"])) for k, t in enumerate(body)]
+    exact = [(20 + k, t) for k, t in first]
+    docs = documents(spark, first).coalesce(1).union(documents(spark, near).coalesce(1)).union(documents(spark, exact).coalesce(1))
+    got = {r["doc_id"]: r["component_id"] for r in ngram_join.link(docs, 3, 90).collect()}
+    assert got == {i: i % 10 for i, _ in first + near + exact}
+    alone, _ = ngram_join.words_of(np.frombuffer(b"plain", np.uint8), np.array([0, 5]))
+    beside, _ = ngram_join.words_of(np.frombuffer(b"plain" + b"y" * 4097, np.uint8), np.array([0, 5, 4102]))
+    assert beside[0] == alone[0]
+
+
 def test_top_k(spark):
     rng = np.random.default_rng(2)
     rows = [(i, [float(x) for x in rng.normal(size=6)], i) for i in range(300)]

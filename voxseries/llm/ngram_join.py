@@ -28,6 +28,8 @@ _RANDOM = np.random.default_rng(20240229)
 _BYTE = _RANDOM.integers(0, 1 << 64, 256, np.uint64)
 _NEAR = _RANDOM.integers(0, 1 << 64, 1 << 12, np.uint64) | np.uint64(1)
 _FAR = _RANDOM.integers(0, 1 << 64, 1 << 16, np.uint64) | np.uint64(1)
+#: The first letters of a word weigh the same whether or not a long word is near: its hash is that of the word alone.
+_FAR[0] = 1
 
 
 def words_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
