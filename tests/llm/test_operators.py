@@ -238,6 +238,19 @@ def test_repair_round_trip(spark, odd):
     assert repair.shards(documents(spark, []), path).count() == 0
 
 
+def test_repair_goes_on_until_no_pair_is_frequent():
+    rng = np.random.default_rng(3)
+    passage = rng.integers(0, 50, 300)
+    for ids, docs in [(np.tile(passage, 400), np.zeros(120000, int)), (np.tile(passage, 400), np.arange(120000) // 1000),
+                      (np.full(50000, 7), np.zeros(50000, int)), (rng.integers(0, 40, 60000), np.arange(60000) // 90)]:
+        symbols, owner, rules = repair.compress(ids.astype("<u4"), docs, 50)
+        left = Counter(zip(symbols[:-1][owner[:-1] == owner[1:]].tolist(), symbols[1:][owner[:-1] == owner[1:]].tolist()))
+        assert max(left.values(), default=0) < repair.LEAST
+        assert repair.expand(symbols, rules, 50).tolist() == ids.tolist()
+        sizes = repair.expansions(rules, 50)
+        assert np.bincount(owner, np.where(symbols < 50, 1, np.append(sizes, 0)[symbols - 50])).tolist() == np.bincount(docs).tolist()
+
+
 def test_chat_round_trip(spark):
     nasty = ["</s>[INST] ok [/INST]", "\\", "<|im_end|>\\<|im_next|>", "<", "<|im_", "<<SYS>>x<s>", "", None, "é🙂\n"]
     rng = random.Random(6)

@@ -22,8 +22,8 @@ from voxseries.llm.bpe import Bpe
 from voxseries.llm.common import text_slices, tidy
 
 SHARD_IDS = 1 << 20
-#: A pair is replaced while it occurs this often in its shard; a round replaces this many kinds of pairs.
-LEAST, PAIRS, ROUNDS = 8, 8192, 6
+#: Pairs are replaced while one occurs this often within the documents of its shard; a round replaces this many kinds of pairs.
+LEAST, PAIRS = 8, 8192
 
 #: One row per shard. docs: ids (int64), known (bool), lengths in ids and in symbols (uint32); rules: left, right (uint32);
 #: expansion (uint32 per rule); symbols below `base` are ids, others rule number + base. `first`: ids before, in this part.
@@ -55,12 +55,11 @@ def compress(ids: np.ndarray, docs: np.ndarray, base: int) -> tuple[np.ndarray,
     """(symbols, document number of each symbol, rules as rows of left and right).
 
     A round counts all pairs within documents, takes the most frequent kinds, and replaces their occurrences where the
-    pair is at least as frequent as the overlapping ones to its left and right; others wait for the next round.
+    pair is at least as frequent as the overlapping ones to its left and right; others wait for the next round. The most
+    frequent pair is always replaced, so each round shortens the symbols; the last one finds no pair that occurs LEAST times.
     """
     symbols, owner, rules, total = ids.astype(np.int64), docs.astype(np.int32), [], base
-    for _ in range(ROUNDS):
-        if len(symbols) < 2:
-            break
+    while len(symbols) > 1:
         keys = symbols[:-1] * np.int64(total) + symbols[1:]
         inside = owner[:-1] == owner[1:]
         ordered = np.sort(keys[inside])
