@@ -1,5 +1,6 @@
 """Operators of the subpackage against brute force, on awkward rows: nulls, empty and long texts, ties, repeats, no rows."""
 
+import hashlib
 import random
 import re
 import zlib
@@ -268,6 +269,27 @@ def test_chat_round_trip(spark):
     assert chat.format_chats(df.limit(0)).count() == 0
 
 
+def test_near_copies_with_repeated_and_null_ids(spark):
+    base = [f"w{i}" for i in range(80)]
+    near, other = " ".join([*base[:-1], "edit"]), " ".join(f"v{i}" for i in range(80))
+    base = " ".join(base)
+    docs = documents(spark, [(1, base), (5, near), (5, other), (7, base.upper()), (7, other + " end"), (8, "x y"), (8, "x y"),
+                             (None, near), (None, "z z z"), (None, "z z z q"), (None, "z z z"), (9, ""), (9, "")])
+    got = Counter((r["doc_id"], r["text"]) for r in ngram_join.drop_near_copies(docs).collect())
+    assert got == Counter({(1, base): 1, (5, other): 1, (8, "x y"): 1, (None, "z z z"): 1, (None, "z z z q"): 1, (9, ""): 2})
+
+
+def test_keep_taken_with_repeated_and_null_ids(spark):
+    texts = [(None, f"n{i} " * 10) for i in range(40)] + [(3, f"m{i} " * 10) for i in range(40)] + [(4, "same " * 10)] * 40
+    docs = documents(spark, texts).withColumn("source", F.lit("src0"))
+    taken = mixing.select(docs, F.lit("d"), {}, share=0.5, seed=2, marked=True)
+    want = Counter((r["doc_id"], bytes(r["mark"])) for r in taken.collect())
+    kept = mixing.keep_taken(docs, taken, F.lit("d"))
+    assert kept.columns == docs.columns
+    assert Counter((r["doc_id"], hashlib.sha256(r["text"].encode()).digest()) for r in kept.collect()) == want
+    assert sum(want.values()) == 60
+
+
 def test_pipeline_stages(spark, tmp_path):
     import corpus_pipeline
     rng = random.Random(8)

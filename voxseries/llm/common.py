@@ -9,7 +9,8 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 _M1 = np.uint64(0xBF58476D1CE4E5B9)
@@ -60,6 +61,11 @@ class Stages:
         path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def text_digest(text: Column) -> Column:
+    """SHA-256 of a text as it is, 32 bytes; null counts as empty."""
+    return F.unhex(F.sha2(F.coalesce(text, F.lit("")), 256))
+
+
 def tidy(run: Callable) -> Callable:
     """A task over Arrow batches that gives its memory back at the end: idle Python workers then hold little of it."""
 

@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from voxseries.llm.common import Stages
+from voxseries.llm.common import Stages, text_digest
 
 LEVELS = ("domain", "lang", "source")
 
@@ -81,12 +81,12 @@ def _null_safe(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
 
 def select(docs: DataFrame, domain: Column, weights: dict[str, dict[str, float]], share: float, other: float = 1.0,
            max_epochs: int = 1, seed: int = 0, slices: int = 4096, id_column: str = "doc_id", text: str = "text",
-           ) -> DataFrame:
+           marked: bool = False) -> DataFrame:
     """One row per document and epoch taken: id, domain, lang, source, tokens, epoch, tokens_taken.
 
     The budget is `share` of all tokens (words between blanks). Whole epochs come first; the last one ends inside a
     document, of which `tokens_taken` tells the part. Null lang or source is a name of its own; null or blank texts have no
-    tokens and are never taken; repeated rows are documents of their own; an empty table gives an empty result.
+    tokens and are never taken; repeated rows are documents of their own; an empty table gives an empty result. `marked` adds the digest of the text, which keep_taken needs.
 
     Texts are read once, to count. Running sums are made over `slices` hash ranges of a leaf first, then over the rows of the
     one slice where the prefix ends: a leaf with a third of the rows is never ordered as a whole.
@@ -95,7 +95,7 @@ def select(docs: DataFrame, domain: Column, weights: dict[str, dict[str, float]]
     tokens = F.regexp_count(F.coalesce(F.col(text), F.lit("")), F.lit("[^\\x20\\x09-\\x0D]+")).cast("long")
     rows = stages.write(docs.select(
         F.col(id_column).alias("id"), domain.alias("domain"), "lang", "source", tokens.alias("tokens"),
-        F.monotonically_increasing_id().alias("row")), "counted")
+        text_digest(F.col(text)).alias("mark"), F.monotonically_increasing_id().alias("row")), "counted")
     leaves = rows.groupBy(*LEVELS).agg(F.sum("tokens").alias("available"))
     leaves = stages.write(leaves, "leaves")
     total = F.col("available") * float(share)
@@ -118,12 +118,30 @@ def select(docs: DataFrame, domain: Column, weights: dict[str, dict[str, float]]
             .withColumn("before", F.col("ahead") + F.coalesce(F.sum("tokens").over(order), F.lit(0)))
             .filter(F.col("before") < F.col("rest"))
             .withColumn("tokens_taken", F.least(F.col("tokens"), F.col("rest") - F.col("before"))))
-    shape = [F.col("id").alias(id_column), *LEVELS, "tokens", "epoch", "tokens_taken"]
+    shape = [F.col("id").alias(id_column), *LEVELS, "tokens", "epoch", "tokens_taken", *["mark"] * marked]
     ends = [x.withColumn("epoch", F.col("whole")).select(*shape) for x in (inner, edge)]
     return whole.select(*shape).unionByName(ends[0]).unionByName(ends[1])
 
 
-def keep_taken(docs: DataFrame, taken: DataFrame, id_column: str = "doc_id") -> DataFrame:
-    """The documents of which a part was taken, whole, with their own columns."""
-    ids = Stages(docs.sparkSession, "taken").write(taken.select(F.col(id_column).alias("__taken")).distinct(), "ids")
-    return docs.join(ids, docs[id_column].eqNullSafe(ids["__taken"]), "left_semi")
+def keep_taken(docs: DataFrame, taken: DataFrame, domain: Column, id_column: str = "doc_id", text: str = "text") -> DataFrame:
+    """The documents of which a part was taken, whole, with their own columns. `taken` comes from select(marked=True).
+
+    Rows are told apart by id, digest of the text and leaf; of rows alike in all of them as many stay as were taken.
+    """
+    stages = Stages(docs.sparkSession, "taken")
+    keys = ["__id", "__mark", *(f"__{level}" for level in LEVELS)]
+    tagged = docs.withColumns(dict(zip(keys, [F.col(id_column), text_digest(F.col(text)), domain, F.col("lang"), F.col("source")])))
+    # Each document of which anything was taken is in epoch 0.
+    took = taken.filter("epoch = 0").groupBy(
+        *[F.col(c).alias(k) for c, k in zip([id_column, "mark", *LEVELS], keys)]).agg(F.count("*").alias("took"))
+    alike = tagged.groupBy(*[F.col(k).alias(f"{k}_") for k in keys]).agg(F.count("*").alias("alike")).filter("alike > 1")
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"{k}_")) for k in keys])
+    took = stages.write(took.join(alike, same, "left").select(
+        *[F.col(k).alias(f"{k}_") for k in keys], "took", F.coalesce(F.col("took") < F.col("alike"), F.lit(False)).alias("part")),
+        "took")
+    part = stages.write(took.filter("part"), "part")
+    # A leaf's prefix ends in one group of alike rows at most, so few groups are numbered.
+    order = Window.partitionBy(*keys).orderBy(F.lit(0))
+    some = tagged.join(part, same).withColumn("__at", F.row_number().over(order)).filter(F.col("__at") <= F.col("took"))
+    return (tagged.join(took.filter("NOT part"), same, "left_semi").select(*docs.columns)
+            .unionByName(some.select(*docs.columns)))

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from voxseries.llm.common import Stages, mix, pair_hash, text_bytes, text_slices, tidy
+from voxseries.llm.common import Stages, mix, pair_hash, text_bytes, text_digest, text_slices, tidy
 from voxseries.llm.components import components
 
 #: Slots of the document frequencies: the table's size does not depend on the data.
@@ -97,7 +97,7 @@ def frequencies(docs: DataFrame, words: int) -> np.ndarray:
     return out
 
 
-_LIGHT = "doc_id long, n int, a long, b long, central byte, spread array<short>, odd array<long>, head array<long>"
+_LIGHT = "doc_id long, mark binary, n int, a long, b long, central byte, spread array<short>, odd array<long>, head array<long>"
 _WHOLE = "doc_id long, a long, b long, grams array<long>"
 
 
@@ -138,7 +138,7 @@ def light_sets(docs: DataFrame, words: int, percent: int, counts: np.ndarray) ->
                 odd = np.bincount(owner * (WORDS_OF_BITS * 64) + (mix(grams) >> np.uint64(32)).astype(np.int64) % (WORDS_OF_BITS * 64),
                                   minlength=n * WORDS_OF_BITS * 64) & 1
                 yield pa.RecordBatch.from_pydict({
-                    "doc_id": part.column("doc_id").cast(pa.int64()), "n": pa.array(sizes.astype(np.int32)), "a": a, "b": b,
+                    "doc_id": part.column("doc_id").cast(pa.int64()), "mark": part.column("mark").cast(pa.binary()), "n": pa.array(sizes.astype(np.int32)), "a": a, "b": b,
                     "central": pa.array(np.minimum(rarity * 8, 127).astype(np.int8)),
                     "spread": pa.ListArray.from_arrays(np.arange(0, n * RANGES + 1, RANGES, dtype=np.int32),
                                                        pa.array(np.minimum(spread, 32767).astype(np.int16))),
@@ -184,7 +184,7 @@ class _Join:
         groups = self.stages.write(groups, "groups")
         own = self.sets.select("row", "central", "spread", "odd", "head")
         full = self.stages.write(groups.join(own, groups["cls"] == own["row"]).drop("row"), "full")
-        sets = self.stages.write(self.sets.select("row", "doc_id", "n", "a", "b"), "rows")
+        sets = self.stages.write(self.sets.select("row", "doc_id", "mark", "n", "a", "b"), "rows")
         self.stages.drop(self.sets, groups)
         #: (gram, cls, n, pos, central) of the prefix of each class, pos from 0.
         self.entries = self.stages.write(full.select("cls", "n", "central", F.posexplode("head").alias("pos", "gram")), "entries")
@@ -242,6 +242,12 @@ class _Join:
         return out, pairs
 
     def run(self) -> DataFrame:
+        return self.labelled().select(
+            "row", "doc_id", F.col("n").cast("long").alias("n_shingles"),
+            F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
+
+    def labelled(self) -> DataFrame:
+        """Each row with the label of its component (null where it is empty) and the smallest id there."""
         stages, entries = self.stages, self.entries
         # An n-gram in one prefix only finds nobody. Else its hub is the most common one of its classes.
         hubs = entries.groupBy("gram").agg(F.count("*").alias("m"), F.max(F.struct("central", "cls", "n", "pos")).alias("hub"))
@@ -288,12 +294,11 @@ class _Join:
             "label", F.coalesce("label", "cls"))
         placed = stages.write(placed.select("a", "b", F.col("n").alias("size"), "low", "label"), "placed")
         least = placed.groupBy("label").agg(F.min("low").alias("component_id"))
-        classes = stages.write(placed.join(least, "label").select("a", "b", "size", "component_id"), "components")
+        classes = stages.write(placed.join(least, "label").select("a", "b", "size", "label", "component_id"), "components")
         stages.drop(placed, self.classes, links)
-        slim = self.sets.select("row", "doc_id", "n", "a", "b")
+        slim = self.sets
         s = slim.join(classes, (slim["a"] == classes["a"]) & (slim["b"] == classes["b"]) & (slim["n"] == classes["size"]), "left")
-        return s.select("row", "doc_id", F.col("n").cast("long").alias("n_shingles"),
-                        F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
+        return s.select("row", "doc_id", "mark", "n", "label", "component_id")
 
 
 def link(docs: DataFrame, words: int = 5, percent: int = 80, id_column: str = "doc_id", text: str = "text") -> DataFrame:
@@ -310,18 +315,33 @@ def link(docs: DataFrame, words: int = 5, percent: int = 80, id_column: str = "d
     return _Join(_rows(docs, id_column, text), words, percent).run()
 
 
-def _rows(docs: DataFrame, id_column: str, text: str) -> DataFrame:
-    return docs.select(F.col(id_column).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+def _rows(docs: DataFrame, id_column: str, text: str, mark: Column | None = None) -> DataFrame:
+    return docs.select(F.col(id_column).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"),
+                       (F.lit(None) if mark is None else mark).cast("binary").alias("mark"))
 
 
 def drop_near_copies(docs: DataFrame, words: int = 5, percent: int = 80, id_column: str = "doc_id", text: str = "text",
                      ) -> DataFrame:
-    """The documents with one of each component: the smallest id (of repeated rows one). Their own columns stay.
+    """The documents with one row of each component: the smallest id's (null last), of one id's texts the one with the
+    smallest digest, of repeated rows any. Empty documents and the documents' own columns stay.
 
-    Documents to drop are found by id. Null ids are never dropped, as they cannot be told apart.
+    Rows are told apart by id and digest of the text, so a repeated id on other texts takes nothing with it.
     """
-    join = _Join(_rows(docs, id_column, text), words, percent)
-    gone = join.run().filter("doc_id > component_id").select(F.col("doc_id").alias("__gone")).distinct()
-    gone = Stages(docs.sparkSession, "near-copies").write(gone, "gone")
+    mark = text_digest(F.col(text))
+    join = _Join(_rows(docs, id_column, text, mark), words, percent)
+    stages = Stages(docs.sparkSession, "near-copies")
+    rows = stages.write(join.labelled().filter("n > 0").select("doc_id", "mark", "label"), "labels")
     join.stages.clear()
-    return docs.join(gone, docs[id_column] == gone["__gone"], "left_anti")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "mark"))
+    best = rows.groupBy("label").agg(first.alias("first")).select(
+        F.col("first.doc_id").alias("best_id"), F.col("first.mark").alias("best_mark"))
+    keys = rows.groupBy(F.col("doc_id").alias("__id"), F.col("mark").alias("__mark")).agg(F.count("*").alias("same"))
+    keys = keys.join(best, F.col("__id").eqNullSafe(F.col("best_id")) & (F.col("__mark") == F.col("best_mark")), "left")
+    touched = stages.write(keys.filter("best_mark IS NULL OR same > 1").select(
+        "__id", "__mark", F.col("best_mark").isNotNull().alias("__keep")), "touched")
+    one = stages.write(touched.filter("__keep"), "one")
+    tagged = docs.withColumn("__digest", mark)
+    on = F.col(id_column).cast("long").eqNullSafe(F.col("__id")) & (F.col("__digest") == F.col("__mark"))
+    # Rows alike in id and text that stay are rare: one of them comes back by a join of its own.
+    again = tagged.join(one, on).dropDuplicates(["__id", "__mark"])
+    return tagged.join(touched, on, "left_anti").select(*docs.columns).unionByName(again.select(*docs.columns))
