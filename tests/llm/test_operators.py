@@ -279,6 +279,13 @@ def test_near_copies_with_repeated_and_null_ids(spark):
     assert got == Counter({(1, base): 1, (5, other): 1, (8, "x y"): 1, (None, "z z z"): 1, (None, "z z z q"): 1, (9, ""): 2})
 
 
+def test_mixing_does_not_depend_on_the_layout(spark, odd):
+    docs = documents(spark, odd + [(None, f"other {i}") for i in range(20)] + [(44, f"more {i}") for i in range(20)])
+    takes = [Counter(map(tuple, mixing.select(d, F.lit("d"), {}, share=share, max_epochs=2, seed=5, marked=True).collect()))
+             for share in (0.4, 1.3) for d in (docs.coalesce(1), docs.repartition(7), docs.orderBy(F.desc("text")))]
+    assert takes[0] == takes[1] == takes[2] and takes[3] == takes[4] == takes[5]
+
+
 def test_keep_taken_with_repeated_and_null_ids(spark):
     texts = [(None, f"n{i} " * 10) for i in range(40)] + [(3, f"m{i} " * 10) for i in range(40)] + [(4, "same " * 10)] * 40
     docs = documents(spark, texts).withColumn("source", F.lit("src0"))

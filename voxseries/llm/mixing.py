@@ -105,7 +105,8 @@ def select(docs: DataFrame, domain: Column, weights: dict[str, dict[str, float]]
     planned = _null_safe(rows.filter("tokens > 0"), plan.drop("available", "target"), list(LEVELS))
     whole = (planned.filter("whole > 0").withColumn("epoch", F.explode(F.sequence(F.lit(0), F.col("whole") - 1)))
              .withColumn("tokens_taken", F.col("tokens")))
-    point = F.xxhash64("id", "row", F.lit(seed), F.col("whole"))
+    # Neither file splits nor partitions decide: row numbers only order rows alike in id and text.
+    point = F.xxhash64("id", "mark", F.lit(seed), F.col("whole"))
     last = planned.filter("rest > 0").withColumn("point", point).withColumn(
         "slice", F.pmod(F.shiftright("point", 20), F.lit(slices)).cast("int"))
     sums = last.groupBy(*LEVELS, "slice", "rest").agg(F.sum("tokens").alias("here"))
@@ -113,7 +114,7 @@ def select(docs: DataFrame, domain: Column, weights: dict[str, dict[str, float]]
     sums = sums.withColumn("ahead", F.coalesce(F.sum("here").over(ahead), F.lit(0))).filter(F.col("ahead") < F.col("rest"))
     placed = _null_safe(last, sums.drop("rest"), [*LEVELS, "slice"])
     inner = placed.filter(F.col("ahead") + F.col("here") <= F.col("rest")).withColumn("tokens_taken", F.col("tokens"))
-    order = Window.partitionBy(*LEVELS).orderBy("point", "row").rowsBetween(Window.unboundedPreceding, -1)
+    order = Window.partitionBy(*LEVELS).orderBy("point", "id", "mark", "row").rowsBetween(Window.unboundedPreceding, -1)
     edge = (placed.filter(F.col("ahead") + F.col("here") > F.col("rest"))
             .withColumn("before", F.col("ahead") + F.coalesce(F.sum("tokens").over(order), F.lit(0)))
             .filter(F.col("before") < F.col("rest"))
