@@ -177,6 +177,25 @@ def test_language_mixture(spark):
     assert {r["lang_pred"] for r in langid.identify(docs, empty).collect()} == {"und"}
 
 
+def test_language_shares_are_fitted_to_the_end():
+    """Close languages: the share is where the likelihood of the two is greatest, found here by bisection."""
+    rng = np.random.default_rng(7)
+    model = langid.Model(["aa", "bb"], -9 + 0.3 * rng.normal(size=(langid.BUCKETS, 2)))
+    pool = ["".join(rng.choice(list("abcdefghijklmnop"), 4)) for _ in range(5000)]
+    bucket, first, _ = langid._trigrams(pool)
+    log_l = np.add.reduceat(model.log_p[bucket], first)
+    draw = lambda j, n: rng.choice(len(pool), n, p=np.exp(log_l[:, j]) / np.exp(log_l[:, j]).sum())
+    mixes = [np.concatenate([draw(0, a), draw(1, 2000 - a)]) for a in (1700, 1500, 1300)]
+    names, score, chosen = model.predict([" ".join(pool[i] for i in m) for m in mixes])
+    assert names == ["aa"] * 3 and chosen.tolist() == [2, 2, 2]
+    for m, s in zip(mixes, score):
+        ratio, lo, hi = np.exp(log_l[m, 1] - log_l[m, 0]), 0.0, 1.0
+        for _ in range(60):
+            at = (lo + hi) / 2
+            lo, hi = (at, hi) if ((1 - ratio) / (at + (1 - at) * ratio)).sum() > 0 else (lo, at)
+        assert s == pytest.approx(lo, abs=2e-3)
+
+
 def test_ring(spark, odd):
     got = ring.assign(documents(spark, odd), 7, nodes=8, cells=64).collect()
     counts = Counter(r["shard"] for r in got)

@@ -23,6 +23,8 @@ from voxseries.llm.common import replaced, text_slices, tidy
 BUCKETS = 1 << 16
 #: A model holds at most this many languages, so that it stays small enough to send to every worker.
 MOST_LANGUAGES = 512
+#: A document's fit ends when no other shares can raise its log-likelihood by more than this.
+TOLERANCE = 1e-4
 
 _state: dict[str, np.ndarray] = {}
 
@@ -64,7 +66,7 @@ class Model:
     languages: list[str]
     log_p: np.ndarray
 
-    def predict(self, texts: list[str | None], rounds: int = 8) -> tuple[list[str], np.ndarray, np.ndarray]:
+    def predict(self, texts: list[str | None], tolerance: float = TOLERANCE) -> tuple[list[str], np.ndarray, np.ndarray]:
         """(language, proportion of it, size of the chosen set) of each text; `und` and 0 without letters."""
         bucket, first, words = _trigrams(texts)
         n, k = len(texts), len(self.languages)
@@ -80,23 +82,33 @@ class Model:
         counts = words[filled]
         starts = np.cumsum(counts) - counts
 
-        def fit(allowed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-            share = allowed / allowed.sum(axis=1, keepdims=True)
-            for _ in range(rounds):
-                part = like * np.repeat(share, counts, axis=0)
-                part /= part.sum(axis=1, keepdims=True)
-                share = np.add.reduceat(part, starts, axis=0) / counts[:, None]
-            fitted = (like * np.repeat(share, counts, axis=0)).sum(axis=1)
+        def fit(allowed: np.ndarray, share: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            # The start is near the last fit, yet no language that is allowed is at 0: from there it could not come back.
+            share = allowed * (share + 1e-3)
+            share /= share.sum(axis=1, keepdims=True)
+            live, some, size = np.arange(len(filled)), like, counts
+            while len(live):
+                now = share[live]
+                over = 1 / np.einsum("ij,ij->i", some, np.repeat(now, size, axis=0))
+                lift = np.add.reduceat(some * over[:, None], np.cumsum(size) - size, axis=0) / size[:, None]
+                share[live] = np.maximum(now * lift, 1e-200 * allowed[live])
+                # The likelihood is concave: from `now` it can rise by size * log(greatest lift) at most. The second term is
+                # what rounding leaves of that.
+                most = np.where(allowed[live] > 0, lift, 0).max(axis=1)
+                going = size * np.log(np.maximum(most, 1)) > np.maximum(tolerance, size * 1e-13)
+                if not going.all():
+                    some, live, size = some[np.repeat(going, size)], live[going], size[going]
+            fitted = np.einsum("ij,ij->i", like, np.repeat(share, counts, axis=0))
             return share, np.add.reduceat(np.log(fitted) + top[:, 0], starts)
 
         allowed = np.ones((len(filled), k))
-        share, fitted = fit(allowed)
+        share, fitted = fit(allowed, np.ones_like(allowed))
         cost = 0.5 * np.log(counts + 1.0) + 2.0
         best_share, best = share, fitted - cost * k
         for size in range(k - 1, 0, -1):
             weakest = np.where(allowed > 0, share, np.inf).argmin(axis=1)
             allowed[np.arange(len(filled)), weakest] = 0
-            share, fitted = fit(allowed)
+            share, fitted = fit(allowed, share)
             value = fitted - cost * size
             better = value >= best
             best = np.where(better, value, best)
