@@ -35,7 +35,8 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents chosen so that domains, languages and sources have their weights. None is repeated here."""
-    taken = mixing.select(docs, domain(), WEIGHTS, share=0.8, other=0.1, max_epochs=1, seed=17, marked=True)
+    taken = mixing.select(docs, domain(), WEIGHTS, share=0.8, other=0.1, max_epochs=1, seed=17, marked=True,
+                          tokens=mixing.pieces(F.col("text")))
     return mixing.keep_taken(docs, taken, domain())
 
 

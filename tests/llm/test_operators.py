@@ -305,6 +305,16 @@ def test_mixing_does_not_depend_on_the_layout(spark, odd):
     assert takes[0] == takes[1] == takes[2] and takes[3] == takes[4] == takes[5]
 
 
+def test_mixing_counts_follow_length_without_blanks(spark, tmp_path):
+    texts = {1: "one two  three\n", 2: "日本語の文" * 100, 3: "aB3/" * 600, 4: "Straße 日本x", 5: "", 6: None, 7: "ไทย ok"}
+    want = {1: 3, 2: 500, 3: 200, 4: 4, 7: 4}
+    spark.createDataFrame([(i, t, "en", f"src{i}", 1) for i, t in texts.items()],
+                          "doc_id long, text string, lang string, source string, n_chars long").write.parquet(
+        str(tmp_path / "documents.parquet"))
+    got = queries.op8_mixing(spark, str(tmp_path)).collect()
+    assert got and all(r["tokens"] == want[r["doc_id"]] for r in got) and {2, 3} <= {r["doc_id"] for r in got}
+
+
 def test_keep_taken_with_repeated_and_null_ids(spark):
     texts = [(None, f"n{i} " * 10) for i in range(40)] + [(3, f"m{i} " * 10) for i in range(40)] + [(4, "same " * 10)] * 40
     docs = documents(spark, texts).withColumn("source", F.lit("src0"))

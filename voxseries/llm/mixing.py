@@ -79,12 +79,25 @@ def _null_safe(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
     return left.join(renamed, on).drop(*[f"__{k}" for k in keys])
 
 
+#: All characters but blanks and the blocks of scripts written without blanks: Thai, Lao, Myanmar, Khmer, U+3000 to U+9FFF
+#: (Han, Kana and their signs), U+F900 to U+FAFF, U+20000 to U+3FFFF. The common ones come first.
+_SPACED = (r"\x21-\u0DFF\x00-\x08\x0E-\x1F\u0F00-\u0FFF\u10A0-\u177F\u1800-\u2FFF\uA000-\uD7FF\uE000-\uF8FF\uFB00-\uFFFF"
+           r"\x{10000}-\x{1FFFF}\x{40000}-\x{10FFFF}")
+
+
+def pieces(text: Column) -> Column:
+    """How many pieces a text has, which follows its length with or without blanks: each character of a script written without
+    blanks is one, and any other run between blanks is one for each 12 characters begun.
+    """
+    return F.regexp_count(F.coalesce(text, F.lit("")), F.lit(rf"[{_SPACED}]{{1,12}}|[^\x20\x09-\x0D]")).cast("long")
+
+
 def select(docs: DataFrame, domain: Column, weights: dict[str, dict[str, float]], share: float, other: float = 1.0,
            max_epochs: int = 1, seed: int = 0, slices: int = 4096, id_column: str = "doc_id", text: str = "text",
-           marked: bool = False) -> DataFrame:
+           marked: bool = False, tokens: Column | None = None) -> DataFrame:
     """One row per document and epoch taken: id, domain, lang, source, tokens, epoch, tokens_taken.
 
-    The budget is `share` of all tokens (words between blanks). Whole epochs come first; the last one ends inside a
+    The budget is `share` of all tokens: `tokens`, a count of the caller's (none below 0), else words between blanks. Whole epochs come first; the last one ends inside a
     document, of which `tokens_taken` tells the part. Null lang or source is a name of its own; null or blank texts have no
     tokens and are never taken; repeated rows are documents of their own; an empty table gives an empty result. `marked` adds the digest of the text, which keep_taken needs.
 
@@ -92,9 +105,10 @@ def select(docs: DataFrame, domain: Column, weights: dict[str, dict[str, float]]
     one slice where the prefix ends: a leaf with a third of the rows is never ordered as a whole.
     """
     stages = Stages(docs.sparkSession, "mixing")
-    tokens = F.regexp_count(F.coalesce(F.col(text), F.lit("")), F.lit("[^\\x20\\x09-\\x0D]+")).cast("long")
+    if tokens is None:
+        tokens = F.regexp_count(F.coalesce(F.col(text), F.lit("")), F.lit("[^\\x20\\x09-\\x0D]+")).cast("long")
     rows = stages.write(docs.select(
-        F.col(id_column).alias("id"), domain.alias("domain"), "lang", "source", tokens.alias("tokens"),
+        F.col(id_column).alias("id"), domain.alias("domain"), "lang", "source", F.coalesce(tokens.cast("long"), F.lit(0)).alias("tokens"),
         text_digest(F.col(text)).alias("mark"), F.monotonically_increasing_id().alias("row")), "counted")
     leaves = rows.groupBy(*LEVELS).agg(F.sum("tokens").alias("available"))
     leaves = stages.write(leaves, "leaves")

@@ -93,7 +93,8 @@ def domain() -> F.Column:
 
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _read(spark, sf_dir, "documents")
-    return mixing.select(docs, domain(), WEIGHTS, share=0.8, other=0.1, max_epochs=2, seed=17)
+    return mixing.select(docs, domain(), WEIGHTS, share=0.8, other=0.1, max_epochs=2, seed=17,
+                         tokens=mixing.pieces(F.col("text")))
 
 
 def op9_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
