@@ -8,7 +8,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voxseries.llm import bpe, chat, digest_index, langid, mixing, ngram_join, repair, ring, suffix, topk
+from voxseries.llm import (
+    bpe, chat, crosspolytope, digest_index, langid, maxscore, mixing, ngram_join, repair, ring, suffix, topk, whitening,
+)
 from voxseries.llm.common import Stages
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -116,6 +118,19 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.length("formatted").cast("long").alias("formatted_chars"))
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
+    return maxscore.rank(docs, _read(spark, sf_dir, "benchmark"), k=10)
+
+
+def op12_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return crosspolytope.nearest(_read(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(_read(spark, sf_dir, "embeddings"), components=32)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -125,7 +140,8 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe, "op2_suffix_dedup": op2_suffix_dedup, "op3_ngram_join": op3_ngram_join, "op4_top_k": op4_top_k,
     "op5_exact_dedup": op5_exact_dedup, "op6_language_id": op6_language_id, "op7_sharding": op7_sharding,
-    "op8_mixing": op8_mixing, "op9_token_shards": op9_token_shards, "op10_chat": op10_chat, "pipeline": pipeline,
+    "op8_mixing": op8_mixing, "op9_token_shards": op9_token_shards, "op10_chat": op10_chat, "op11_ranked_search": op11_ranked_search,
+    "op12_nearest": op12_nearest, "op13_whitening": op13_whitening, "pipeline": pipeline,
 }
 
 _ESCAPES = "|".join(chat._quoted(c) for c in chat.CONTROL)
@@ -161,4 +177,20 @@ ORACLE: dict[str, str] = {
                         ELSE length(role) + {len(chat.START) + len(chat.ROLE) + len(chat.END)} END) AS BIGINT)
                    AS formatted_chars
         FROM t GROUP BY conv_id""",
+    "op11_ranked_search": r"""
+        WITH d AS (SELECT row_number() OVER () AS row, doc_id, regexp_extract_all(
+                     translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                     '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS words FROM documents),
+        corpus AS (SELECT count(*) FILTER (len(words) > 0) AS N, CAST(sum(len(words)) AS BIGINT) AS L FROM d),
+        f AS (SELECT row, doc_id, len(words) AS size, term, count(*) AS tf
+              FROM (SELECT row, doc_id, words, unnest(words) AS term FROM d) GROUP BY row, doc_id, size, term),
+        holders AS (SELECT term, count(*) AS df FROM f GROUP BY term),
+        q AS (SELECT DISTINCT item, item_id, term FROM (SELECT row_number() OVER () AS item, item_id, unnest(regexp_extract_all(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark)),
+        s AS (SELECT item, item_id, row, doc_id, CAST(sum(CAST(floor(1000 * ln((2 * N + 2) / (2 * df + 1))) AS BIGINT)
+                     * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + ((90 * size * N) // L))))) AS BIGINT) AS score
+              FROM q JOIN f USING (term) JOIN holders USING (term), corpus GROUP BY item, item_id, row, doc_id),
+        r AS (SELECT *, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id) AS rank FROM s WHERE score > 0)
+        SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM r WHERE rank <= 10""",
 }
