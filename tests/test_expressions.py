@@ -1,7 +1,6 @@
 import datetime as dt
 import math
 
-import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -132,14 +131,16 @@ def test_words(spark):
     assert got == ["he's", "great", ":)", "(ok)", "a."]
 
 
-def test_student_t():
+def test_student_t(spark):
     # Closed forms: df 1 is Cauchy, df 2 is algebraic.
-    t = np.array([0.5, 2.0, -3.0, 40.0])
-    cauchy = 1 - 2 / math.pi * np.arctan(np.abs(t))
-    assert np.allclose(stats.two_sided_p(t, np.ones(4)), cauchy, rtol=1e-10)
-    algebraic = 1 - np.abs(t) / np.sqrt(2 + t * t)
-    assert np.allclose(stats.two_sided_p(t, np.full(4, 2.0)), algebraic, rtol=1e-9)
-    assert stats.two_sided_p(np.array([2.13144955]), np.array([15.0]))[0] == pytest.approx(0.05, abs=1e-8)
-    assert stats.two_sided_p(np.array([0.0]), np.array([9.0]))[0] == pytest.approx(1.0)
-    assert stats.two_sided_p(np.array([1.959963985]), np.array([4e6]))[0] == pytest.approx(0.05, abs=1e-6)
-    assert np.isnan(stats.two_sided_p(np.array([np.nan]), np.array([9.0]))[0])
+    known = [(t, 1.0, 1 - 2 / math.pi * math.atan(abs(t)), 1e-10) for t in (0.5, 2.0, -3.0, 40.0)]
+    known += [(t, 2.0, 1 - abs(t) / math.sqrt(2 + t * t), 1e-9) for t in (0.5, 2.0, -3.0, 40.0)]
+    known += [(2.13144955, 15.0, 0.05, 1e-7), (0.0, 9.0, 1.0, 1e-12), (1.959963985, 4e6, 0.05, 2e-5),
+              (1.0, 1e9, math.erfc(math.sqrt(0.5)), 1e-8), (40.0, 500.0, 6.29064e-158, 1e-4)]
+    unknown = [(float("nan"), 9.0), (None, 9.0), (2.0, None), (float("inf"), 9.0), (2.0, 0.0), (2.0, -1.0)]
+    rows = [r[:2] for r in known] + unknown
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "i int, t double, f double")
+    got = [r.p for r in df.select("i", stats.t_pvalue(F.col("t"), F.col("f")).alias("p")).orderBy("i").collect()]
+    for (_, _, want, rtol), p in zip(known, got):
+        assert p == pytest.approx(want, rel=rtol)
+    assert got[len(known):] == [None] * len(unknown)

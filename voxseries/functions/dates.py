@@ -30,6 +30,16 @@ def iso_year(date: Column) -> Column:
     return F.extract(F.lit("YEAROFWEEK"), date)
 
 
+def running_week(date: Column) -> Column:
+    """Whole ISO weeks since the one of 1969-12-29: one number per ISO year and week, without a jump at new year."""
+    return F.floor(F.date_diff(date, F.lit("1969-12-29").cast("date")) / 7).cast("int")
+
+
+def running_week_of(year: Column, week: Column) -> Column:
+    """The same from an ISO year and week number. January 4th always lies in the first ISO week of its year."""
+    return running_week(F.make_date(year, F.lit(1), F.lit(4))) + week - 1
+
+
 def week_axis_date(week: Column, first: str = K.WEEK_ONE) -> Column:
     """First day drawn for a week label, counted in sevens from ``first``."""
     return F.date_add(F.lit(first).cast("date"), ((week - 1) * 7).cast("int"))

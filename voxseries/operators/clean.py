@@ -23,11 +23,17 @@ def _read(lines: DataFrame, keys) -> DataFrame:
 
 
 def _sound():
-    """A readable JSON object. The reader stops at the end of the first value of a line, so the
-    line's outer marks are checked too."""
+    """A line that holds one JSON object and nothing else.
+
+    The reader stops at the end of the first value of a line, so the line's outer marks are checked too. Where an object ends
+    and another begins before the end of the line, the line is read once more inside an array with an end mark, which counts
+    its values.
+    """
     text = F.btrim("value", F.lit(_SPACES))
     braced = F.startswith(text, F.lit("{")) & F.endswith(text, F.lit("}"))
-    return braced & F.col("_broken").isNull() & F.is_valid_utf8("value")
+    values = F.json_array_length(F.concat(F.lit("["), "value", F.lit(', "end"]')))
+    alone = F.when(F.col("value").rlike(r"\}.*\{"), F.coalesce(values == 2, F.lit(False))).otherwise(True)
+    return braced & F.col("_broken").isNull() & F.is_valid_utf8("value") & alone
 
 
 def _typed(key: str):

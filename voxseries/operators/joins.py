@@ -27,26 +27,59 @@ def is_small(df: DataFrame, rows: int = 200_000, chars: int = 16_000_000) -> boo
     return found.rows <= rows and found.chars <= chars
 
 
+def hot_keys(df: DataFrame, col: str, share: float = 0.01, tracked: int = 10_000) -> dict[str, float]:
+    """Values of ``col`` that hold at least ``share`` of its rows each, with the share they hold.
+
+    Counted by a sketch: one pass, one buffer of ``tracked`` values a task. A value with more than a ``tracked``-th of the rows
+    cannot slip through it, so ``share`` must be above that; the driver sees at most ``1 / share`` values. Empty and null
+    values do not count.
+    """
+    if share * tracked <= 1:
+        raise ValueError("the sketch must track more values than can be hot")
+    most = int(1 / share)
+    found = drop_blank(df.select(col), col).agg(
+        F.expr(f"approx_top_k(`{col}`, {most}, {tracked})").alias("top"), F.count(F.lit(1)).alias("rows")
+    ).first()
+    if not found.rows:
+        return {}
+    return {r["item"]: r["count"] / found.rows for r in found.top if r["count"] >= share * found.rows}
+
+
 def attach_titles(
-    comments: DataFrame, submissions: DataFrame, dedupe: bool = False, salt: int = 1
+    comments: DataFrame, submissions: DataFrame, dedupe: bool = False, salt: int = 1,
+    hot: dict[str, float] | None = None,
 ) -> DataFrame:
     """Every comment with the title of its thread, ``""`` where there is none.
 
-    Duplicate submission ids fan out unless ``dedupe``. ``salt`` spreads each thread over that
-    many join keys (submissions are copied that often): for a thread so large that one mapper's
-    share of it is already too much for AQE's split.
+    Duplicate submission ids fan out unless ``dedupe``. ``hot`` holds threads with a large share of all comments
+    (``hot_keys``): each is spread over as many join keys as its share of the shuffle partitions, and only its own submission
+    is copied; all other threads keep one key. ``salt`` spreads every thread, hot or not, and copies all submissions.
     """
-    return _titled(comments, submissions, dedupe, salt).drop("_matched")
+    return _titled(comments, submissions, dedupe, salt, hot).drop("_matched")
 
 
-def flag_matches(comments: DataFrame, submissions: DataFrame, dedupe: bool = False) -> DataFrame:
+def flag_matches(
+    comments: DataFrame, submissions: DataFrame, dedupe: bool = False,
+    hot: dict[str, float] | None = None,
+) -> DataFrame:
     """The same rows with a ``matched`` flag, for the audit."""
-    return _titled(comments, submissions, dedupe, 1).withColumn(
+    return _titled(comments, submissions, dedupe, 1, hot).withColumn(
         "matched", F.coalesce("_matched", F.lit(False))
     ).drop("_matched")
 
 
-def _titled(comments, submissions, dedupe, salt):
+def _spread(key, shares: dict[str, float], partitions: int):
+    """Join keys of each thread: 1, or for a hot one as many as its share of the partitions, twice over so that they even out."""
+    by_count: dict[int, list[str]] = {}
+    for thread, share in shares.items():
+        by_count.setdefault(max(2, round(2 * share * partitions)), []).append(thread)
+    out = F.lit(1)
+    for count, threads in by_count.items():
+        out = F.when(key.isin(threads), count).otherwise(out)
+    return out
+
+
+def _titled(comments, submissions, dedupe, salt, hot):
     left = drop_blank(comments, "link_id_short")
     right = drop_blank(submissions, "id").select(
         F.col("id").alias("_thread"),
@@ -58,10 +91,16 @@ def _titled(comments, submissions, dedupe, salt):
             F.min("title").alias("title"), F.lit(True).alias("_matched")
         )
     on = F.col("link_id_short") == F.col("_thread")
-    if salt > 1:
-        left = left.withColumn("_salt", F.pmod(F.xxhash64(*left.columns), F.lit(salt)))
-        copies = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salt - 1).cast("bigint")))
-        right = right.withColumn("_copy", copies)
+    if salt > 1 or hot:
+        partitions = int(comments.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+        def keys(thread):
+            return F.lit(salt) if salt > 1 else _spread(thread, hot, partitions)
+
+        # Numbered by place in the task, so that rows alike in all columns spread too. Any key meets a copy of the title.
+        place = F.monotonically_increasing_id()
+        left = left.withColumn("_salt", F.pmod(F.xxhash64(place), keys(F.col("link_id_short"))).cast("int"))
+        right = right.withColumn("_copy", F.explode(F.sequence(F.lit(0), keys(F.col("_thread")) - 1)))
         on = on & (F.col("_salt") == F.col("_copy"))
     joined = left.join(right, on, "left")
     title = F.coalesce("title", F.lit("")).alias("title")

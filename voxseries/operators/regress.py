@@ -15,8 +15,8 @@ def ols(
     """poll = intercept + slope * measure per group and measure.
 
     Groups with fewer than ``min_n`` complete pairs give no row. A constant measure gives null
-    coefficients; a perfect fit has no finite t. The moments come from one partial and final
-    aggregation; only the finished lines reach Python, for the p-value.
+    coefficients; a perfect fit has no finite t and no p-value. The moments come from one partial and
+    final aggregation, the rest is expressions over the finished lines.
     """
     x_, y_ = F.col("x"), F.col("y")
     moments = measures_long(pairs, by, measures, y).groupBy(*by, "measure").agg(

@@ -1,13 +1,11 @@
 """Line readers for (compressed) dumps."""
 
-from collections.abc import Iterator
+import json
 
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-_BATCH_LINES = 20_000
-_READ_BYTES = 1 << 22
+from voxseries.sources.zstd_source import ZstdLines
 
 
 def read_lines(spark: SparkSession, *paths: str) -> DataFrame:
@@ -16,47 +14,19 @@ def read_lines(spark: SparkSession, *paths: str) -> DataFrame:
     return spark.read.text(list(paths), lineSep="\n")
 
 
-def _zstd_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    import zstandard
-    from pyarrow import fs
-
-    reader = zstandard.ZstdDecompressor(max_window_size=2**31)
-
-    def lines(path):
-        system, inner = fs.FileSystem.from_uri(path)
-        with system.open_input_stream(inner, compression=None) as raw:
-            with reader.stream_reader(raw, read_across_frames=True) as plain:
-                rest = b""
-                while chunk := plain.read(_READ_BYTES):
-                    *full, rest = (rest + chunk).split(b"\n")
-                    yield from full
-                if rest:
-                    yield rest
-
-    for batch in batches:
-        for path in batch.column("path").to_pylist():
-            pending = []
-            for line in lines(path):
-                pending.append(line)
-                if len(pending) == _BATCH_LINES:
-                    yield pa.record_batch([pa.array(pending, pa.binary())], names=["value"])
-                    pending = []
-            if pending:
-                yield pa.record_batch([pa.array(pending, pa.binary())], names=["value"])
-
-
 def scan_dump(spark: SparkSession, *paths: str, long_window: bool = False) -> DataFrame:
     """Lines of ``.zst`` dumps.
 
     Spark's codec reads windows up to 2^27 bytes. ``long_window`` streams files made with a
-    larger one through the ``zstandard`` wheel, one task per file, without holding a file in
-    memory. A zstd file cannot be split either way, so filter first and only then
+    larger one through the ``zstandard`` wheel: a data source with one input partition per file,
+    which holds some megabytes of lines at a time. The driver sees the files' names. A zstd file cannot be split either way, so filter first and only then
     ``repartition`` what is left.
     """
     if not long_window:
         return read_lines(spark, *paths)
-    # Listing needs no content: the column is pruned from the scan.
+    # Spark lists the files, wherever they are; it needs no content for that: the column is pruned from the scan.
     files = spark.read.format("binaryFile").load(list(paths)).select("path")
-    files = files.repartition(max(1, files.count()))
-    raw = files.mapInArrow(_zstd_lines, "value binary")
+    spark.dataSource.register(ZstdLines)
+    names = json.dumps(sorted(row.path for row in files.collect()))
+    raw = spark.read.format("zstd_lines").option("files", names).load()
     return raw.select(F.col("value").cast("string").alias("value"))

@@ -1,5 +1,8 @@
 """Typed readers of JSON-lines tables, and the writers."""
 
+import tempfile
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -28,19 +31,60 @@ def coerce_series(df: DataFrame, time_col: str | None = None, int_cols=()) -> Da
 def read_series(
     spark: SparkSession, path, schema: T.StructType, time_col: str | None = None, int_cols=()
 ) -> DataFrame:
-    """Every part file of a series folder. Unreadable files are skipped; a folder without part
-    files gives an empty table of the same layout."""
-    loose = T.StructType([
-        T.StructField(f.name, T.StringType() if f.name in (time_col, *int_cols) else f.dataType)
-        for f in schema.fields
-    ])
-    raw = (
-        spark.read.schema(loose)
-        .option("ignoreCorruptFiles", "true")
-        .option("pathGlobFilter", "part-*.json")
-        .json(path)
+    """Every sound part file of a series folder, its cells coerced. A file with a line that is no JSON object is left out
+    whole, as is one that cannot be read; ``spoiled_files`` names them. A folder without part files gives an empty table of
+    the same layout."""
+    raw = _marked_lines(spark, path, schema)
+    bad = raw.filter(_BAD).select(F.col(_FILE).alias("_spoiled")).distinct()
+    sound = raw.join(bad, F.col(_FILE) == F.col("_spoiled"), "left_anti")
+    loose = (time_col, *int_cols)
+    cells = [F.col(f.name) if f.name in loose else F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema.fields]
+    return coerce_series(sound.select(*cells), time_col, int_cols)
+
+
+def spoiled_files(spark: SparkSession, path, schema: T.StructType) -> DataFrame:
+    """Report of the part files that ``read_series`` leaves out: ``file``, lines, bad lines, and one of the bad lines."""
+    return _marked_lines(spark, path, schema).groupBy(F.col(_FILE).alias("file")).agg(
+        F.count(F.lit(1)).alias("lines"), F.count_if(_BAD).alias("bad"), F.min(F.when(F.col(_BAD), F.col("_line"))).alias("example"),
+    ).filter("bad > 0")
+
+
+_BAD, _FILE = "_bad_line", "_source_file"
+
+
+def _marked_lines(spark, path, schema) -> DataFrame:
+    """Records as text cells, with the file they come from; a line that is no object is marked. Blank lines do not count."""
+    lines = (
+        spark.read.option("ignoreCorruptFiles", "true").option("pathGlobFilter", "part-*.json").text(path)
+        .select(F.col("value").alias("_line"), F.col("_metadata.file_path").alias(_FILE)).filter(F.trim("_line") != "")
     )
-    return coerce_series(raw, time_col, int_cols)
+    layout = ", ".join(f"`{name}` string" for name in [*schema.names, "_broken"])
+    read = F.from_json("_line", layout, {"columnNameOfCorruptRecord": "_broken"})
+    table = lines.select("_line", _FILE, F.inline(F.array(read)))
+    bad = F.col("_broken").isNotNull() | ~F.startswith(F.ltrim("_line"), F.lit("{"))
+    return table.withColumn(_BAD, bad).drop("_broken")
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """The folder all executors share, as ``spark.checkpoint.dir`` names it. Where it is unset, a local master gets a folder
+    of its own; on a cluster that would lose rows, so it raises."""
+    known = spark.conf.get("spark.checkpoint.dir", None) or _own_dirs.get(spark.sparkContext.applicationId)
+    if not known:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        known = _own_dirs[spark.sparkContext.applicationId] = tempfile.mkdtemp(prefix="voxseries-")
+    return known.rstrip("/")
+
+
+_own_dirs: dict[str, str] = {}
+
+
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """A table written to the shared folder and read back: one computation for all its readers, which survives the loss of
+    the executor that wrote it."""
+    path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def spread_scan(scan: DataFrame) -> DataFrame:
