@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import ctypes
-import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -12,20 +11,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from voxseries.sources.tables import shared_dir
+
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 _M1 = np.uint64(0xBF58476D1CE4E5B9)
 _M2 = np.uint64(0x94D049BB133111EB)
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir, or one of our own where it is unset (tests)."""
-    known = spark.conf.get("spark.checkpoint.dir", None)
-    if not known:
-        known = tempfile.mkdtemp(prefix="voxseries-")
-        spark.conf.set("spark.checkpoint.dir", known)
-    return known.rstrip("/")
-
-
 class Stages:
     """Tables written to the shared folder. They cut lineage, and survive the loss of the executor that wrote them."""
 
