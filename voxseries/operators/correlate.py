@@ -1,11 +1,16 @@
 """Correlation of sentiment with polls, for every group at once."""
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from voxseries import constants as K
 from voxseries.functions.numbers import clamp
 from voxseries.functions.stats import pearson
+from voxseries.sources.tables import staged
 
 
 def measures_long(pairs: DataFrame, by, measures=K.MEASURES, y: str = "poll") -> DataFrame:
@@ -40,64 +45,94 @@ def rank_series(df: DataFrame, by, cols) -> DataFrame:
     return df
 
 
-def value_ranks(counted: DataFrame, by, col: str, bands: int = 128) -> DataFrame:
-    """Average rank of every distinct value of ``col`` in its group, for groups of any size.
+def _running(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows in order, with the weight before each value, of this task only, and the weight of its ties."""
+    before = 0
+    for batch in batches:
+        weights = batch.column("_n").to_numpy()
+        upto = before + np.cumsum(weights)
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(upto)], names=[*batch.schema.names, "_upto"])
+        before = int(upto[-1]) if len(upto) else before
+
 
-    ``counted`` has rows with a weight ``_n``; equal values are folded before anything is
-    sorted. A group is cut into bands at approximate quantiles of its distinct values; ranks run
-    within a band and start after the rows of the bands below it. The cuts only share out the
-    work: whatever they are, the ranks are exact.
+def value_ranks(counts: DataFrame, by) -> DataFrame:
+    """Average rank of each value in its group, for groups of any size; ties are folded already.
+
+    ``counts`` has one row for each ``by``, ``_value`` and the number ``_n`` of rows with it. One exchange by ranges puts the
+    values in order; every task adds up its own, and what lies before a task is the total of the tasks before it: one number
+    a task, known once the sums are stored. The rank of a group's values starts at the group's first row.
     """
-    counts = counted.groupBy(*by, col).agg(F.sum("_n").alias("_n"))
-    marks = [i / bands for i in range(1, bands)]
-    cuts = counts.groupBy(*by).agg(F.percentile_approx(col, marks).alias("_cuts"))
-    band = F.size(F.filter("_cuts", lambda cut: cut < F.col(col)))
-    banded = match(counts, cuts, list(by)).select(*by, col, "_n", band.alias("_band"))
-
-    below = Window.partitionBy(*by).orderBy("_band").rowsBetween(Window.unboundedPreceding, -1)
-    starts = banded.groupBy(*by, "_band").agg(F.sum("_n").alias("_size")).select(
-        *by, "_band", F.coalesce(F.sum("_size").over(below), F.lit(0)).alias("_start")
-    )
-    upto = Window.partitionBy(*by, "_band").orderBy(col).rowsBetween(Window.unboundedPreceding, 0)
-    placed = banded.withColumn("_upto", F.sum("_n").over(upto))
-    placed = match(placed, starts, [*by, "_band"])
-    rank = F.col("_start") + F.col("_upto") - (F.col("_n") - 1) / 2
-    return placed.select(*by, col, rank.alias(f"{col}_rank"))
-
-
-def _large_spearman(complete: DataFrame, keys, min_n: int) -> DataFrame:
-    """Spearman without a window over a whole group."""
-    folded = complete.groupBy(*keys, "x", "y").agg(F.count(F.lit(1)).alias("_n"))
-    ranked = match(folded, value_ranks(folded, keys, "x"), [*keys, "x"])
-    ranked = match(ranked, value_ranks(folded, keys, "y"), [*keys, "y"])
+    order = [*by, "_value"]
+    parts = int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    layout = counts.select(*order, "_n").schema.simpleString()[7:-1].replace(":", " ")
+    ordered = counts.select(*order, "_n").repartitionByRange(parts, *order).sortWithinPartitions(*order)
+    placed = staged(ordered.mapInArrow(_running, f"{layout}, _upto bigint").withColumn("_task", F.spark_partition_id()), "ranks")
+    # Totals of the tasks, a row for each, are added up in their order.
+    tasks = {r["_task"]: r["n"] for r in placed.groupBy("_task").agg(F.max("_upto").alias("n")).collect()}
+    ahead, total = [], 0
+    for task in range(max(tasks, default=-1) + 1):
+        ahead.append(total)
+        total += tasks.get(task, 0)
+    start = F.get(F.array(*map(F.lit, ahead)).cast("array<bigint>"), F.col("_task"))
+    placed = placed.select(*order, "_n", (F.col("_upto") + start).alias("_upto"))
+    groups = placed.groupBy(*by).agg(F.min(F.col("_upto") - F.col("_n")).alias("_start"), F.sum("_n").alias("_all"))
+    ranked = match(placed, groups, list(by))
     # Ranks are centred on their known mean before they are multiplied: a constant column is exactly 0.
-    ranked = match(ranked, folded.groupBy(*keys).agg(F.sum("_n").alias("_all")), keys)
-    mean = (F.col("_all") + 1) / 2
-    w, a, b = F.col("_n"), F.col("x_rank") - mean, F.col("y_rank") - mean
-    sums = ranked.groupBy(*keys).agg(
-        F.sum(w).alias("_w"), F.sum(w * a * a).alias("_aa"), F.sum(w * b * b).alias("_bb"),
-        F.sum(w * a * b).alias("_ab"),
-    )
-    r = F.try_divide(F.col("_ab"), F.sqrt("_aa") * F.sqrt("_bb"))
-    return sums.select(*keys, F.when(F.col("_w") >= min_n, clamp(r, -1.0, 1.0)).alias("spearman"))
+    centred = F.col("_upto") - F.col("_start") - (F.col("_n") - 1) / 2 - (F.col("_all") + 1) / 2
+    return ranked.select(*order, centred.alias("_rank"))
+
+
+def _large_stats(long: DataFrame, keys, min_n: int) -> DataFrame:
+    """Both correlations of groups of any size from one scan: equal pairs are folded and stored, all else comes from them."""
+    complete = F.col("x").isNotNull() & F.col("y").isNotNull()
+    pairs = long.select(*keys, F.when(complete, F.col("x")).alias("x"), F.when(complete, F.col("y")).alias("y"))
+    folded = staged(pairs.groupBy(*keys, "x", "y").agg(F.count(F.lit(1)).alias("_n")), "pairs")
+    sound = folded.filter(F.col("x").isNotNull())
+    axes = F.explode(F.array(F.struct(F.lit("x").alias("_axis"), F.col("x").alias("_value")),
+                             F.struct(F.lit("y").alias("_axis"), F.col("y").alias("_value")))).alias("_v")
+    values = sound.select(*keys, "_n", axes).select(*keys, "_n", "_v.*")
+    counts = staged(values.groupBy(*keys, "_axis", "_value").agg(F.sum("_n").alias("_n")), "values")
+    ranks = staged(value_ranks(counts, [*keys, "_axis"]), "value-ranks")
+
+    def axis(name: str) -> DataFrame:
+        return ranks.filter(F.col("_axis") == name).select(
+            *keys, F.col("_value").alias(name), F.col("_rank").alias(f"_{name}_rank"))
+
+    ranked = match(match(sound, axis("x"), [*keys, "x"]), axis("y"), [*keys, "y"])
+    means = sound.groupBy(*keys).agg(*[(F.sum(F.col(v) * F.col("_n")) / F.sum("_n")).alias(f"_{v}_mean") for v in ("x", "y")])
+    ranked = match(ranked, means, keys)
+    w = F.col("_n")
+    sides = {"pearson": (F.col("x") - F.col("_x_mean"), F.col("y") - F.col("_y_mean")),
+             "spearman": (F.col("_x_rank"), F.col("_y_rank"))}
+    sums = ranked.groupBy(*keys).agg(F.sum(w).alias("n"), *[
+        F.sum(w * p * q).alias(f"_{name}_{label}")
+        for name, (a, b) in sides.items() for label, p, q in (("aa", a, a), ("bb", b, b), ("ab", a, b))])
+
+    def r(name: str):
+        spread = F.sqrt(f"_{name}_aa") * F.sqrt(f"_{name}_bb")
+        return F.when(F.col("n") >= min_n, clamp(F.try_divide(F.col(f"_{name}_ab"), spread), -1.0, 1.0)).alias(name)
+
+    found = sums.select(*keys, r("pearson"), r("spearman"), "n")
+    # Groups without a complete pair are still groups.
+    groups = folded.select(*keys).distinct()
+    return match(groups, found, keys, "left").select(*keys, "pearson", "spearman", F.coalesce("n", F.lit(0)).alias("n"))
 
 
 def pair_stats(long: DataFrame, by, min_n: int = 3, large_groups: bool = False) -> DataFrame:
     """Pearson, Spearman and pair count per group and measure.
 
     Nulls are set aside before anything is ranked. ``large_groups`` is for raw rows, where one
-    group may hold any share of the table. A null group is a group like any other.
+    group may hold any share of the table; it stores folded pairs in the shared folder right away.
+    A null group is a group like any other.
     """
     keys = [*by, "measure"]
+    if large_groups:
+        return _large_stats(long, keys, min_n)
     complete = F.col("x").isNotNull() & F.col("y").isNotNull()
     stats = [
         pearson(F.col("x"), F.col("y"), min_n).alias("pearson"),
         F.count_if(complete).alias("n"),
     ]
-    if large_groups:
-        plain = long.groupBy(*keys).agg(*stats)
-        spearman = _large_spearman(long.filter(complete), keys, min_n)
-        return match(plain, spearman, keys, "left").select(*keys, "pearson", "spearman", "n")
     pairs = long.withColumns({
         "x": F.when(complete, F.col("x")), "y": F.when(complete, F.col("y"))
     })

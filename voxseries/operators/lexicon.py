@@ -11,6 +11,10 @@ from voxseries.functions.text import words
 from voxseries.operators.joins import is_small
 
 
+#: Words of a lexicon that may stand in a plan as a literal set.
+LITERAL = 50_000
+
+
 def _listed(term: str, names) -> str:
     """SQL test whether a term is one of the names."""
     quoted = ", ".join("'" + n.replace("\\", "\\\\").replace("'", "\\'") + "'" for n in names)
@@ -59,6 +63,29 @@ def token_contexts(df: DataFrame, text_col: str, key) -> DataFrame:
     return tokens.select(*key, "but", "pos", "_token.*").filter(F.col("w").isNotNull())
 
 
+def hit_contexts(df: DataFrame, text_col: str, key, listed) -> DataFrame:
+    """The same rows for tokens that are among the ``listed`` words only, with a flag for each neighbour that is.
+
+    Membership is tested against a literal set inside the row, before anything is exploded: a row leaves as many rows as it
+    has hits, and one that closes it.
+    """
+    def among(word: str) -> str:
+        return _listed(word, listed)
+
+    cut = df.select(*key, words(F.col(text_col)).alias("_words"))
+    but = F.array_position("_words", F.lit("but")) - 1
+    at = F.expr(f"filter(transform(_words, (w, i) -> IF({among('w')}, i, -1)), i -> i >= 0)")
+    # The positions leave through a generator, so that the words are not searched again for what follows.
+    found = cut.select(*key, "_words", F.when(but >= 0, but).alias("but"), F.inline(F.array(F.struct(at.alias("_at")))))
+    near = ", ".join(f"get(_words, i {step}) AS {name}" for name, step in (
+        ("w", "+ 0"), ("p1", "- 1"), ("p2", "- 2"), ("p3", "- 3"), ("n1", "+ 1"), ("n2", "+ 2")))
+    tokens = F.expr(f"""concat(transform(_at, i -> struct(i AS pos, {near})),
+        array(struct(size(_words) AS pos, '' AS w, string(null) AS p1, string(null) AS p2, string(null) AS p3,
+                     string(null) AS n1, string(null) AS n2)))""")
+    hits = found.select(*key, "but", F.inline(tokens))
+    return hits.withColumns({f"{n}_known": F.expr(f"IF({among(n)}, true, null)") for n in ("p1", "p2", "p3", "n1")})
+
+
 def _nearby(hits: DataFrame, lexicon: DataFrame, side) -> DataFrame:
     """Whether each neighbour is a lexicon word: the same small table again, on hits only."""
     for name in ("p1", "p2", "p3", "n1"):
@@ -115,21 +142,25 @@ def lexicon_score(
     The key must be unique, unless ``copies_col`` is given: then rows that agree in key and text
     become one row with their number in that column, for an aggregation to weigh it by.
 
-    ``lexicon`` is a table of ``word, valence`` with one row per word. It is measured first and
-    broadcast if small; a larger one is joined like any other table. The only shuffle is of one partial sum
-    per row and task: all tokens of a row sit in one task, so the map side has already added
-    them up. Null and empty text scores 0.
+    ``lexicon`` is a table of ``word, valence`` with one row per word. It is measured first: a small one (``LITERAL``
+    words at most) becomes a literal set, so that only hits leave their row, and is broadcast for their valences; a larger
+    one is joined, with all tokens, like any other table. The only shuffle is of one partial sum per row and task: all tokens
+    of a row sit in one task, so the map side has already added them up. Null and empty text scores 0.
     """
     lexicon = lexicon.select("word", F.col("valence").cast("double").alias("valence"))
-    side = F.broadcast if is_small(lexicon) else (lambda table: table)
+    small = is_small(lexicon, LITERAL)
+    side = F.broadcast if small else (lambda table: table)
     closing = df.sparkSession.range(1).select(F.lit("").alias("w"), F.lit(0.0).alias("valence"))
     known = lexicon.select(F.col("word").alias("w"), "valence").union(closing)
 
     if copies_col:
         key = [*key, "_digest"]
         df = df.withColumn("_digest", F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256))
-    hits = token_contexts(df, text_col, key).join(side(known), "w")
-    hits = _nearby(hits, lexicon, side)
+    if small:
+        listed = [row.word for row in lexicon.select("word").collect() if row.word is not None]
+        hits = hit_contexts(df, text_col, key, listed).join(side(known), "w")
+    else:
+        hits = _nearby(token_contexts(df, text_col, key).join(known, "w"), lexicon, side)
     plain = [b for b in boosters if " " not in b]
     hits = hits.filter(f"NOT ({_listed('w', plain)} OR (w = 'kind' AND coalesce(n1 = 'of', false)))")
     after_no = "p1 = 'no' OR p2 = 'no' OR (p3 = 'no' AND p1 IN ('or', 'nor'))"
