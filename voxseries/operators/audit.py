@@ -55,6 +55,23 @@ def summary(daily: DataFrame, weekly: DataFrame) -> DataFrame:
     )
 
 
+def summary_of(both: DataFrame, comments: DataFrame | None = None, submissions: DataFrame | None = None) -> DataFrame:
+    """The same from the two-grain rollup, in one pass over it. With the one-row counts of the first filter also what was
+    scanned and kept of comments and submissions."""
+    daily = F.col("grain") == "daily"
+    facts = both.agg(
+        F.sum(F.when(daily, F.col("comment_volume"))).alias("targeted_rows"),
+        F.min("date").alias("first_date"), F.max("date").alias("last_date"),
+        F.count_distinct("date").alias("daily_buckets"),
+        F.min("week").alias("first_week"), F.max("week").alias("last_week"),
+    )
+    counts = []
+    for name, audited in (("comments", comments), ("submissions", submissions)):
+        if audited is not None:
+            counts += [audited.select(n).scalar().alias(f"{name}_{m}") for n, m in (("seen", "scanned"), ("kept", "kept"))]
+    return facts.select("*", *counts)
+
+
 def extent(series: DataFrame, key: str) -> DataFrame:
     """First and last ``key`` and number of rows of each group's series."""
     return series.groupBy("party").agg(

@@ -32,7 +32,8 @@ def _sound():
     text = F.btrim("value", F.lit(_SPACES))
     braced = F.startswith(text, F.lit("{")) & F.endswith(text, F.lit("}"))
     values = F.json_array_length(F.concat(F.lit("["), "value", F.lit(', "end"]')))
-    alone = F.when(F.col("value").rlike(r"\}.*\{"), F.coalesce(values == 2, F.lit(False))).otherwise(True)
+    after = F.substr("value", F.locate("}", F.col("value")))
+    alone = F.when(F.contains(after, F.lit("{")), F.coalesce(values == 2, F.lit(False))).otherwise(True)
     return braced & F.col("_broken").isNull() & F.is_valid_utf8("value") & alone
 
 

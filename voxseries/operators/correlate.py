@@ -91,8 +91,8 @@ def _large_stats(long: DataFrame, keys, min_n: int) -> DataFrame:
     axes = F.explode(F.array(F.struct(F.lit("x").alias("_axis"), F.col("x").alias("_value")),
                              F.struct(F.lit("y").alias("_axis"), F.col("y").alias("_value")))).alias("_v")
     values = sound.select(*keys, "_n", axes).select(*keys, "_n", "_v.*")
-    counts = staged(values.groupBy(*keys, "_axis", "_value").agg(F.sum("_n").alias("_n")), "values")
-    ranks = staged(value_ranks(counts, [*keys, "_axis"]), "value-ranks")
+    counts = values.groupBy(*keys, "_axis", "_value").agg(F.sum("_n").alias("_n"))
+    ranks = value_ranks(counts, [*keys, "_axis"])
 
     def axis(name: str) -> DataFrame:
         return ranks.filter(F.col("_axis") == name).select(
@@ -154,7 +154,11 @@ def corr_table(
     large_groups: bool = False,
 ) -> DataFrame:
     """One row per group: ``<measure>_pear``, ``<measure>_spear``, ``<measure>_n``."""
-    tall = corr_long(pairs, by, measures, min_n, y, large_groups)
+    return corr_wide(corr_long(pairs, by, measures, min_n, y, large_groups), by, measures)
+
+
+def corr_wide(tall: DataFrame, by=("party", "lag"), measures=K.MEASURES) -> DataFrame:
+    """The same from the rows per measure."""
     stats = {"pear": "pearson", "spear": "spearman", "n": "n"}
     return tall.groupBy(*by).agg(*[
         F.max(F.when(F.col("measure") == m, F.col(source))).alias(f"{m}_{short}")

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from voxseries import constants as K
+from voxseries.functions.dates import running_week_of
 from voxseries.functions.text import strip
 from voxseries.operators.clean import drop_blank
 
@@ -137,6 +138,14 @@ def lagged_pairs(series: DataFrame, polls_by_party: DataFrame, key: str, lags) -
     return series.join(spread, ["party", key], "inner")
 
 
+def lagged_pairs_years(series: DataFrame, polls_by_party: DataFrame, lags) -> DataFrame:
+    """Weekly pairs of series that span years: sentiment of one week beside the poll ``lag`` weeks before it, also across a
+    new year. Both sides carry ``iso_year`` and ``week``; a running week number joins them."""
+    run = running_week_of(F.col("iso_year"), F.col("week")).alias("_run")
+    polls = polls_by_party.select("party", run, "poll")
+    return lagged_pairs(series.select("*", run), polls, "_run", lags).drop("_run")
+
+
 def left_series(series: DataFrame, polls_by_party: DataFrame, key: str) -> DataFrame:
     """Every row of the series with its own group's poll, null where no poll was taken."""
     return series.join(polls_by_party.select("party", key, "poll"), ["party", key], "left")

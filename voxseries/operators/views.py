@@ -68,8 +68,9 @@ def cell_strength(table: DataFrame, col: str) -> DataFrame:
 
 
 def stat_cards(summary: DataFrame) -> DataFrame:
-    """Summary figures as short texts."""
+    """Summary figures as short texts; scanned and kept comments too, where the summary has them."""
+    counted = [compact_number(F.col(c)).alias(c) for c in ("comments_scanned", "comments_kept") if c in summary.columns]
     return summary.select(
-        compact_number(F.col("targeted_rows")).alias("targeted_rows"),
+        *counted, compact_number(F.col("targeted_rows")).alias("targeted_rows"),
         F.concat(F.col("last_week").cast("string"), F.lit(" weeks")).alias("weeks"),
     )

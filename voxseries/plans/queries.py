@@ -77,7 +77,12 @@ def _members(values) -> str:
     return "(" + ", ".join(f"'{v}'" for v in values) + ")"
 
 
-_CLEAN_COMMENTS = f"""
+def _text_or_none(key: str) -> str:
+    return f"CASE WHEN json_type(j, '$.{key}') = 'NULL' THEN 'None' ELSE {_text(key)} END"
+
+
+def _clean_comments_sql(_text) -> str:
+    return f"""
 checked AS (
   SELECT *, {_strip(_text('subreddit'))} AS community, {_strip(_text('body'))} AS body,
     {_strip(_text('link_id'))} AS link, json_type(j, '$.created_utc') AS ct, json_type(j, '$.score') AS st,
@@ -102,6 +107,9 @@ comments AS (
     created_utc, score, body, {_strip(_text('permalink'))} AS permalink
   FROM typed WHERE created_utc IS NOT NULL)"""
 
+
+_CLEAN_COMMENTS = _clean_comments_sql(_text)
+
 _CLEAN_SUBMISSIONS = f"""
 sub_parsed AS (
   SELECT CASE WHEN json_valid(value) AND starts_with(ltrim(value), '{{') THEN CAST(value AS JSON) END AS j
@@ -129,6 +137,12 @@ def clean_comments(spark, sf_dir):
     return clean.clean_comments(X.comment_lines(spark, sf_dir))
 
 
+@query(f"WITH {X.COMMENT_LINES}, {_PARSED}, {_clean_comments_sql(_text_or_none)} SELECT * FROM comments")
+def clean_comments_legacy(spark, sf_dir):
+    """A JSON null becomes the text None, and its row stays."""
+    return clean.clean_comments(X.comment_lines(spark, sf_dir), legacy_none=True)
+
+
 @query(f"WITH {X.SUBMISSION_LINES}, {_CLEAN_SUBMISSIONS} SELECT * FROM submissions")
 def clean_submissions(spark, sf_dir):
     return clean.clean_submissions(X.submission_lines(spark, sf_dir))
@@ -190,6 +204,15 @@ def attach_titles(spark, sf_dir):
     return J.attach_titles(*X.threads(spark, sf_dir))
 
 
+@query(f"""WITH {_THREADS}, {X.HOT_THREADS}
+SELECT r.id, r.link_id_short, r.body, coalesce({_strip('o.title')}, '') AS title
+FROM hot_replies r LEFT JOIN opening o ON r.link_id_short = o.id""")
+def attach_titles_hot(spark, sf_dir):
+    """C1 where one thread holds most replies: found by a sketch, and spread over several join keys."""
+    replies = X.hot_replies(spark, sf_dir)
+    return J.attach_titles(replies, X.threads(spark, sf_dir)[1], hot=J.hot_keys(replies, "link_id_short"))
+
+
 @query(f"""WITH {_THREADS}
 SELECT count(*) AS inputs, count(o.id) AS matched, count(*) - count(o.id) AS unmatched
 FROM replies r LEFT JOIN opening o ON r.link_id_short = o.id""")
@@ -235,15 +258,22 @@ def targeted_replies(spark, sf_dir):
 
 
 def _case(column: str, mapping) -> str:
-    arms = " ".join(f"WHEN '{k}' THEN {v}" for k, v in mapping.items())
+    arms = " ".join(f"WHEN {_sql_text(k)} THEN {v}" for k, v in mapping.items())
     return f"CASE {column} {arms} ELSE 0 END"
 
 
+def _sql_text(value: str) -> str:
+    return "'" + value.replace("'", "''") + "'"
+
+
 def _quoted(values) -> str:
-    return ", ".join(f"'{v}'" for v in values)
+    return ", ".join(map(_sql_text, values))
 
 
-def _lexicon_sql() -> str:
+def _lexicon_sql(
+    source: str = "documents", key: str = "doc_id", lexicon=X.LEXICON, boosters=X.BOOSTERS, negators=X.NEGATORS,
+    idioms=X.IDIOMS, before: str = "",
+) -> str:
     """The same rules over token positions, with window functions."""
     punctuation = K.PUNCTUATION.replace("'", "''")
     marks = "chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || chr(28) || chr(29) || chr(30) || chr(31) || chr(133) || chr(160)"
@@ -252,7 +282,7 @@ def _lexicon_sql() -> str:
         near = f"p{k}"
         acts = f"({near} IS NOT NULL AND {near}_v IS NULL)"
         between = [f"p{i}" for i in range(1, k)]
-        negates = f"({near} IN ({_quoted(X.NEGATORS)}) OR contains({near}, 'n''t'))"
+        negates = f"({near} IN ({_quoted(negators)}) OR contains({near}, 'n''t'))"
         rules = ""
         if between:
             so = " OR ".join(f"coalesce({b} IN ('so', 'this'), false)" for b in between)
@@ -260,38 +290,38 @@ def _lexicon_sql() -> str:
             rules = f"WHEN {near} = 'never' AND ({so}) THEN {K.NEVER_SO_WEIGHT} WHEN {near} = 'without' AND ({doubt}) THEN 1.0 "
         steps.append(f"""
 stepped{k} AS (
-  SELECT *, (({score}) + CASE WHEN {acts} THEN {_case(near, X.BOOSTERS)} * sign_{k} * {damp} ELSE 0 END)
+  SELECT *, (({score}) + CASE WHEN {acts} THEN {_case(near, boosters)} * sign_{k} * {damp} ELSE 0 END)
     * CASE WHEN NOT {acts} THEN 1.0 {rules}WHEN {negates} THEN {K.NEGATION_WEIGHT} ELSE 1.0 END AS score{k}
   FROM (SELECT *, CASE WHEN {score} < 0 THEN -1.0 ELSE 1.0 END AS sign_{k}
         FROM {'started' if k == 1 else f'stepped{k - 1}'}))""")
         score = f"score{k}"
-    idiom = " ".join(f"WHEN {{p}} = '{p}' THEN {v}" for p, v in X.IDIOMS.items())
+    idiom = " ".join(f"WHEN {{p}} = {_sql_text(p)} THEN {v}" for p, v in idioms.items())
 
     def phrase(*names):
         return "(" + " || ' ' || ".join(names) + ")"
 
     order = [("w", "n1", "n2"), ("w", "n1"), ("p1", "w"), ("p2", "p1", "w"), ("p2", "p1"), ("p3", "p2", "p1"), ("p3", "p2")]
     own = ", ".join(f"CASE {idiom.format(p=phrase(*names))} END" for names in order)
-    degree = " + ".join(_case(phrase(*n), X.BOOSTERS) for n in [("p3", "p2", "p1"), ("p3", "p2"), ("p2", "p1")])
-    values = ", ".join(f"('{w}', CAST({v} AS DOUBLE))" for w, v in X.LEXICON.items())
-    single = _quoted([b for b in X.BOOSTERS if " " not in b])
+    degree = " + ".join(_case(phrase(*n), boosters) for n in [("p3", "p2", "p1"), ("p3", "p2"), ("p2", "p1")])
+    values = ", ".join(f"({_sql_text(w)}, CAST({v} AS DOUBLE))" for w, v in lexicon.items())
+    single = _quoted([b for b in boosters if " " not in b])
     windows = ", ".join(
         f"{fn}({what}, {d}) OVER o AS {name}{suffix}"
         for name, fn, d in (("p1", "lag", 1), ("p2", "lag", 2), ("p3", "lag", 3), ("n1", "lead", 1), ("n2", "lead", 2))
         for what, suffix in (("w", ""), ("valence", "_v"))
     )
-    return f"""WITH lexicon(word, valence) AS (VALUES {values}),
+    return f"""WITH {before}lexicon(word, valence) AS (VALUES {values}),
 split AS (
-  SELECT doc_id, list_filter(string_split_regex(translate(lower(text), {marks}, '{' ' * 11}'), ' +'), lambda t: t <> '') AS l
-  FROM documents),
-raw AS (SELECT doc_id, unnest(l) AS t, unnest(range(1, len(l) + 1)) AS pos FROM split),
+  SELECT {key}, list_filter(string_split_regex(translate(lower(text), {marks}, '{' ' * 11}'), ' +'), lambda t: t <> '') AS l
+  FROM {source}),
+raw AS (SELECT {key}, unnest(l) AS t, unnest(range(1, len(l) + 1)) AS pos FROM split),
 token AS (
-  SELECT doc_id, pos, CASE WHEN length(trim(t, '{punctuation}')) > 2 THEN trim(t, '{punctuation}') ELSE t END AS w
+  SELECT {key}, pos, CASE WHEN length(trim(t, '{punctuation}')) > 2 THEN trim(t, '{punctuation}') ELSE t END AS w
   FROM raw),
 valued AS (SELECT token.*, valence FROM token LEFT JOIN lexicon ON w = word),
 near AS (
-  SELECT *, {windows}, min(CASE WHEN w = 'but' THEN pos END) OVER (PARTITION BY doc_id) AS but
-  FROM valued WINDOW o AS (PARTITION BY doc_id ORDER BY pos)),
+  SELECT *, {windows}, min(CASE WHEN w = 'but' THEN pos END) OVER (PARTITION BY {key}) AS but
+  FROM valued WINDOW o AS (PARTITION BY {key} ORDER BY pos)),
 started AS (
   SELECT *, CASE WHEN coalesce(p1 = 'no', false) OR coalesce(p2 = 'no', false)
         OR coalesce(p3 = 'no' AND p1 IN ('or', 'nor'), false) THEN valence * {K.NEGATION_WEIGHT}
@@ -303,13 +333,13 @@ phrased AS (
   SELECT *, CASE WHEN p3 IS NOT NULL AND p3_v IS NULL
     THEN coalesce({own}, score3) + ({degree}) ELSE score3 END AS score4 FROM stepped3),
 total AS (
-  SELECT doc_id, sum(score4
+  SELECT {key}, sum(score4
     * CASE WHEN p1 = 'least' AND p1_v IS NULL AND (p2 IS NULL OR p2 NOT IN ('at', 'very'))
         THEN {K.NEGATION_WEIGHT} ELSE 1.0 END
     * CASE WHEN pos < but THEN {K.BEFORE_BUT_WEIGHT} WHEN pos > but THEN {K.AFTER_BUT_WEIGHT} ELSE 1.0 END) AS s
-  FROM phrased GROUP BY doc_id)
-SELECT d.doc_id, round(coalesce(s / sqrt(s * s + {K.NORMALISER}), 0.0), 4) AS vader_score
-FROM documents d LEFT JOIN total USING (doc_id)"""
+  FROM phrased GROUP BY {key})
+SELECT {key}, round(coalesce(s / sqrt(s * s + {K.NORMALISER}), 0.0), 4) AS vader_score
+FROM {source} d LEFT JOIN total USING ({key})"""
 
 
 @query(_lexicon_sql())
@@ -321,6 +351,36 @@ def lexicon_documents(spark, sf_dir):
     )
 
 
+@query(_lexicon_sql(
+    "rule_texts", "o_orderkey", X.RULE_LEXICON, K.BOOSTERS, K.NEGATORS, K.IDIOMS, X.RULE_TEXTS + ", "))
+def lexicon_default_rules(spark, sf_dir):
+    """E2 with all default rule tables, over texts that make use of them."""
+    words = spark.createDataFrame(list(X.RULE_LEXICON.items()), "word string, valence double")
+    return lexicon_score(X.rule_texts(spark, sf_dir), "text", words, ["o_orderkey"])
+
+
+_LINEAR = ", ".join(f"({_sql_text(w)}, {', '.join(f'CAST({x} AS DOUBLE)' for x in v)})" for w, v in X.WEIGHTS.items())
+_TOKENS = f"""list_filter(string_split_regex(translate(lower(text), chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || chr(28)
+  || chr(29) || chr(30) || chr(31) || chr(133) || chr(160), '{' ' * 11}'), ' +'), lambda t: t <> '')"""
+
+
+@query(f"""WITH weights(term, w0, w1, w2) AS (VALUES {_LINEAR}),
+raw AS (SELECT doc_id, unnest({_TOKENS}) AS t FROM documents),
+token AS (SELECT doc_id, CASE WHEN length(trim(t, '{K.PUNCTUATION.replace("'", "''")}')) > 2
+    THEN trim(t, '{K.PUNCTUATION.replace("'", "''")}') ELSE t END AS term FROM raw),
+sums AS (
+  SELECT doc_id, {X.INTERCEPTS[0]} + coalesce(sum(w0), 0) AS s0, {X.INTERCEPTS[1]} + coalesce(sum(w1), 0) AS s1,
+    {X.INTERCEPTS[2]} + coalesce(sum(w2), 0) AS s2
+  FROM documents LEFT JOIN token USING (doc_id) LEFT JOIN weights USING (term) GROUP BY doc_id)
+SELECT doc_id, CASE WHEN {_strip("coalesce(text, '')")} = '' THEN 1 WHEN round(s0, 9) >= round(greatest(s1, s2), 9) THEN 0
+  WHEN round(s1, 9) >= round(s2, 9) THEN 1 ELSE 2 END AS trans_sentiment
+FROM documents JOIN sums USING (doc_id)""")
+def classify_linear(spark, sf_dir):
+    """A linear model as joins and sums."""
+    docs = X.texts(spark, sf_dir, "documents", "doc_id", "text")
+    return C.classify_linear(docs, "text", X.weights(spark), X.INTERCEPTS, ["doc_id"])
+
+
 def _training_rows(spark, sf_dir):
     labels = X.table(spark, sf_dir, "labels")
     label = F.when(F.col("toxic") == 1, K.NEGATIVE).when(F.col("quality") == 1, K.POSITIVE).otherwise(K.NEUTRAL)
@@ -367,8 +427,8 @@ _METRICS = """avg(vader_score) AS vader_avg,
 _ROUNDED = """round(vader_avg, 6) AS vader_avg, pos_count, neg_count, neu_count, comment_volume, total,
   round(trans_pos_ratio, 6) AS trans_pos_ratio, round(trans_neg_ratio, 6) AS trans_neg_ratio,
   round(trans_neu_ratio, 6) AS trans_neu_ratio"""
-_DAILY = f"daily AS (SELECT party, date, {_METRICS} FROM scored GROUP BY party, date)"
-_WEEKLY = f"weekly AS (SELECT party, week, {_METRICS} FROM scored GROUP BY party, week)"
+_DAILY = f"daily AS (SELECT party, date, {_METRICS} FROM scored WHERE party IS NOT NULL GROUP BY party, date)"
+_WEEKLY = f"weekly AS (SELECT party, week, {_METRICS} FROM scored WHERE party IS NOT NULL GROUP BY party, week)"
 
 
 def _daily(spark, sf_dir):
@@ -589,6 +649,25 @@ def lagged_pairs_weekly(spark, sf_dir):
     return r6(_week_pairs(spark, sf_dir).select("party", "week", "lag", "vader_avg", "poll"))
 
 
+def _year_series(spark, sf_dir):
+    return U.rollup(X.scored_orders(spark, sf_dir), ["party", "iso_year", "week"])
+
+
+@query(f"""WITH {X.ORDER_SERIES}
+SELECT party, iso_year, week, round(vader_avg, 6) AS vader_avg, round(trans_pos_ratio, 6) AS trans_pos_ratio FROM order_weekly""")
+def rollup_weekly_years(spark, sf_dir):
+    """D1 over years: weeks of different years stay apart."""
+    return r6(_year_series(spark, sf_dir).select("party", "iso_year", "week", *K.MEASURES))
+
+
+@query(f"""WITH {X.ORDER_SERIES}
+SELECT party, iso_year, week, lag, round(vader_avg, 6) AS vader_avg, round(poll, 6) AS poll FROM order_pairs""")
+def lagged_pairs_years(spark, sf_dir):
+    """C4 over years: lags reach back across new year."""
+    pairs = J.lagged_pairs_years(_year_series(spark, sf_dir), X.order_polls(spark, sf_dir), [0, 1, 2])
+    return pairs.select("party", "iso_year", "week", "lag", F.round("vader_avg", 6).alias("vader_avg"), F.round("poll", 6).alias("poll"))
+
+
 # ---------------------------------------------------------------- statistics
 
 
@@ -697,7 +776,7 @@ _OLS_COLUMNS = """party, measure, n, round(slope, 6) AS slope, round(intercept,
 
 @query(f"{_DAY_OLS} SELECT {_OLS_COLUMNS} FROM lines")
 def ols_daily(spark, sf_dir):
-    """G6 without the p-value, which SQL cannot state."""
+    """G6 without the p-value."""
     return r6(G.ols(_day_pairs(spark, sf_dir, [0]), pvalue=False))
 
 
@@ -706,7 +785,22 @@ def ols_weekly(spark, sf_dir):
     return r6(G.ols(_week_pairs(spark, sf_dir, [0]), pvalue=False))
 
 
-@query()
+def with_p_value(lines: str, columns: str) -> str:
+    """The lines with their p-value. For whole degrees of freedom it is a finite sum of even powers of a cosine."""
+    return f"""{lines},
+angles AS (SELECT *, n - 2 AS f, atan(abs(t) / sqrt(n - 2)) AS a FROM lines),
+powers AS (
+  SELECT party, measure, exp(sum(ln(CASE WHEN i = 0 THEN 1.0 WHEN f % 2 = 0 THEN (2.0 * i - 1) / (2 * i)
+      ELSE 2.0 * i / (2 * i + 1) END)) OVER (PARTITION BY party, measure ORDER BY i)) * cos(a) ** (2 * i) AS term
+  FROM angles, range(0, 500) AS g(i) WHERE 2 * i <= f - CASE WHEN f % 2 = 0 THEN 2 ELSE 3 END),
+series AS (SELECT party, measure, sum(term) AS s FROM powers GROUP BY party, measure),
+tailed AS (
+  SELECT angles.*, 1 - CASE WHEN f % 2 = 0 THEN sin(a) * s ELSE 2 / pi() * (a + sin(a) * cos(a) * coalesce(s, 0)) END AS p
+  FROM angles LEFT JOIN series USING (party, measure))
+SELECT {columns}, {'round(p, 6)' if 'round' in columns else 'p'} AS p FROM tailed"""
+
+
+@query(with_p_value(_DAY_OLS, _OLS_COLUMNS))
 def ols_daily_p(spark, sf_dir):
     """G6 with the p-value."""
     return r6(G.ols(_day_pairs(spark, sf_dir, [0])))
@@ -757,8 +851,7 @@ _SUMMARY = """facts AS (
 
 
 def _facts(spark, sf_dir):
-    weekly, daily = split_grains(U.rollup_both(X.scored_events(spark, sf_dir)))
-    return A.summary(daily, weekly)
+    return A.summary_of(U.rollup_both(X.scored_events(spark, sf_dir)))
 
 
 @query(f"WITH {X.SCORED}, {_DAILY}, {_WEEKLY}, {_SUMMARY} SELECT * FROM facts")

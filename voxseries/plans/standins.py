@@ -6,6 +6,7 @@ Nothing here is cut down: every row of the source table becomes a row of the sta
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from voxseries import constants as K
 from voxseries.sources.tables import spread_scan
 
 # Stand-in parameters for the registered queries.
@@ -32,11 +33,11 @@ def texts(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFra
 
 
 def scored_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Scored rows: the event type is the group."""
+    """Scored rows: the event type is the group, which some rows lack."""
     k = F.get_json_object("props", "$.k").cast("int")
     value = F.col("value")
     return table(spark, sf_dir, "events").select(
-        "event_id", F.col("event_type").alias("party"), F.col("ts").cast("date").alias("date"),
+        "event_id", F.when(k != 97, F.col("event_type")).alias("party"), F.col("ts").cast("date").alias("date"),
         F.weekofyear("ts").alias("week"),
         ((k - 50) / F.lit(53.0)).alias("vader_score"),
         F.when(value < 20, 0).when(value < 60, 1).when(value < 300, 2).alias("trans_sentiment"),
@@ -45,7 +46,8 @@ def scored_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 SCORED = """
 scored AS (
-  SELECT event_id, event_type AS party, CAST(ts AS DATE) AS date, CAST(week(ts) AS INTEGER) AS week,
+  SELECT event_id, CASE WHEN CAST(json_extract_string(props, '$.k') AS INTEGER) <> 97 THEN event_type END AS party,
+    CAST(ts AS DATE) AS date, CAST(week(ts) AS INTEGER) AS week,
     (CAST(json_extract_string(props, '$.k') AS INTEGER) - 50) / CAST(53 AS DOUBLE) AS vader_score,
     CASE WHEN value < 20 THEN 0 WHEN value < 60 THEN 1 WHEN value < 300 THEN 2 END AS trans_sentiment
   FROM events)"""
@@ -100,6 +102,10 @@ _COMMENT_LINE = """
     ', "extra": {{"n": [', k, ']}}}}') END"""
 
 
+# Some lines hold two records, which is one too many.
+_MAYBE_TWICE = "rtrim(repeat(concat({line}, ' '), CASE WHEN k = 91 THEN 2 ELSE 1 END))"
+
+
 def comment_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One raw JSON line per event, malformed and incomplete ones among them."""
     start = F.to_timestamp_ntz(F.lit("1970-01-01 00:00:00"))
@@ -115,7 +121,7 @@ def comment_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.expr(_COMMUNITY).alias("community"), F.expr(_CREATED).alias("created"),
         F.expr(_SCORE.format(text="STRING")).alias("score"), F.expr(_BODY).alias("body"),
     )
-    return parts.select(F.expr(_COMMENT_LINE.format()).alias("value"))
+    return parts.select(F.expr(_MAYBE_TWICE.format(line=_COMMENT_LINE.format())).alias("value"))
 
 
 COMMENT_LINES = f"""
@@ -124,7 +130,8 @@ comment_parts AS (
     {_SCORE.format(text="VARCHAR")} AS score, {_BODY} AS body
   FROM (SELECT *, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k,
           epoch_us(ts) // 1000000 AS secs FROM events)),
-comment_lines AS (SELECT {_COMMENT_LINE.format()} AS value FROM comment_parts)"""
+comment_lines AS (
+  SELECT {_MAYBE_TWICE.format(line=_COMMENT_LINE.format())} AS value FROM comment_parts)"""
 
 _SUBMISSION_LINE = """
   CASE WHEN c_acctbal < -900 THEN '{{bad' ELSE concat(
@@ -161,3 +168,103 @@ def threads(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
 
 def lexicon(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(list(LEXICON.items()), "word string, valence double")
+
+
+# Words for texts that all default rules of the lexicon apply to.
+RULE_LEXICON = {
+    "good": 1.9, "great": 3.1, "bad": -2.5, "no": -1.2, "shit": -2.6, "bomb": -2.2, "ass": -2.5, "death": -2.9, "die": -2.9,
+    "heart": 3.2, "broken": -2.1, "yeah": 1.2, "kiss": 1.8, "kind": 2.4, "doubt": -1.5, "despite": -0.4,
+}
+RULE_FILLERS = [
+    "the", "stop", "bus", "to", "for", "of", "right", "beating", "this", "so", "but", "or", "at", "least", "enough", "just", "it",
+]
+RULE_WORDS = [*RULE_LEXICON, *RULE_FILLERS, *sorted({w for b in [*K.BOOSTERS, *K.NEGATORS] for w in b.split()} - {*RULE_LEXICON, *RULE_FILLERS})]
+_RULE_PLACES = [
+    f"(o_orderkey * {a} + o_custkey * {b} + o_orderkey // 7 * {c}) % {n}" for a, b, c, n in (
+        (1, 3, 7, 33), (5, 2, 11, len(RULE_WORDS)), (3, 7, 1, 33), (2, 5, 13, 33), (7, 1, 3, len(RULE_WORDS)), (11, 3, 2, 33),
+        (13, 2, 5, 33), (1, 11, 17, len(RULE_WORDS)), (3, 13, 5, 33), (17, 5, 1, 33), (2, 7, 19, 33))
+]
+
+
+def rule_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A text of eleven of these words and now and then a phrase for each order."""
+    listed = F.array(*map(F.lit, RULE_WORDS))
+    picked = [F.element_at(listed, (F.expr(place.replace("//", "div")) + 1).cast("int")) for place in _RULE_PLACES]
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    turn = F.col("o_custkey") % 10
+    phrase = F.when(turn < len(_PHRASES), F.element_at(
+        F.array(*map(F.lit, _PHRASES)), F.least(turn + 1, F.lit(len(_PHRASES))).cast("int"))).otherwise("")
+    return orders.select("o_orderkey", F.concat_ws(" ", *picked[:6], phrase, *picked[6:]).alias("text"))
+
+
+_PHRASES = ["kiss of death", "to die for", "the bomb", "kind of good", "yeah right", "without doubt", "never so great"]
+RULE_TEXTS = f"""
+rule_texts AS (
+  SELECT o_orderkey, concat_ws(' ', {', '.join(f'w[{p} + 1]' for p in _RULE_PLACES[:6])},
+    CASE WHEN o_custkey % 10 < {len(_PHRASES)} THEN {_PHRASES}[o_custkey % 10 + 1] ELSE '' END,
+    {', '.join(f'w[{p} + 1]' for p in _RULE_PLACES[6:])}) AS text
+  FROM orders, (SELECT [{', '.join("'" + w.replace("'", "''") + "'" for w in RULE_WORDS)}] AS w))"""
+
+# Threads, most replies of which are moved into one of them.
+HOT_THREADS = """
+hot_replies AS (
+  SELECT concat_ws('-', conv_id, turn) AS id, CASE WHEN conv_id % 5 = 0 THEN CAST(conv_id AS VARCHAR) ELSE '0' END AS link_id_short,
+    text AS body FROM conversations WHERE turn > 0)"""
+
+
+def hot_replies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    replies = texts(spark, sf_dir, "conversations", "conv_id", "turn", "text").filter("turn > 0")
+    thread = F.when(F.col("conv_id") % 5 == 0, F.col("conv_id").cast("string")).otherwise("0")
+    return replies.select(F.concat_ws("-", "conv_id", "turn").alias("id"), thread.alias("link_id_short"), F.col("text").alias("body"))
+
+
+def scored_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scored rows over some years: orders of odd customers."""
+    day, n = F.col("o_orderdate").cast("date"), F.col("o_custkey")
+    return table(spark, sf_dir, "orders").filter(n % 2 == 1).select(
+        F.col("o_orderpriority").alias("party"), day.alias("date"), F.weekofyear(day).alias("week"),
+        F.extract(F.lit("YEAROFWEEK"), day).alias("iso_year"), ((n % 101 - 50) / F.lit(53.0)).alias("vader_score"),
+        (n % 3).cast("int").alias("trans_sentiment"))
+
+
+def order_polls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weekly polls over the same years: mean price of the other orders."""
+    day = F.col("o_orderdate").cast("date")
+    rows = table(spark, sf_dir, "orders").filter(F.col("o_custkey") % 2 == 0).select(
+        F.col("o_orderpriority").alias("party"), F.weekofyear(day).alias("week"),
+        F.extract(F.lit("YEAROFWEEK"), day).alias("iso_year"), "o_totalprice")
+    return rows.groupBy("party", "iso_year", "week").agg(F.avg("o_totalprice").alias("poll"))
+
+
+ORDER_SERIES = """
+order_rows AS (
+  SELECT o_orderpriority AS party, CAST(isoyear(o_orderdate) AS INTEGER) AS iso_year, CAST(week(o_orderdate) AS INTEGER) AS week,
+    CAST(date_trunc('week', o_orderdate) AS DATE) AS monday, o_custkey, o_totalprice FROM orders),
+order_weekly AS (
+  SELECT party, iso_year, week, monday, avg((o_custkey % 101 - 50) / CAST(53 AS DOUBLE)) AS vader_avg,
+    count(*) FILTER (o_custkey % 3 = 2) / CAST(count(*) AS DOUBLE) AS trans_pos_ratio
+  FROM order_rows WHERE o_custkey % 2 = 1 GROUP BY ALL),
+order_polls AS (SELECT party, monday, avg(o_totalprice) AS poll FROM order_rows WHERE o_custkey % 2 = 0 GROUP BY ALL),
+order_pairs AS (
+  SELECT w.*, CAST(lag AS INTEGER) AS lag, poll FROM order_weekly w, range(0, 3) AS l(lag), order_polls p
+  WHERE p.party = w.party AND p.monday + CAST(7 * lag AS INTEGER) = w.monday)"""
+
+# Weights of a linear model: a stand-in for a trained one.
+WEIGHTS = {
+    "that": (0.2458, 0.4836, 0.5904),
+    "and": (0.8849, 0.4798, 0.8446),
+    "is": (-0.942, -0.0688, 0.8867),
+    "und": (0.2979, 0.8018, -0.7736),
+    "der": (-0.0619, -0.5069, 0.0875),
+    "que": (0.1479, -0.9738, -0.5665),
+    "de": (-0.441, 0.8327, 0.5315),
+    "les": (-0.6808, 0.5943, -0.7225),
+    "los": (0.2349, -0.7466, -0.9965),
+    "in": (0.7428, -0.5811, -0.569),
+}
+INTERCEPTS = [0.2, 0.6, -0.1]
+
+
+def weights(spark: SparkSession) -> DataFrame:
+    rows = [(w, c, v) for w, values in WEIGHTS.items() for c, v in enumerate(values)]
+    return spark.createDataFrame(rows, "term string, class int, weight double")

@@ -4,12 +4,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from voxseries import constants as K
-from voxseries.operators.audit import summary
+from voxseries.operators.audit import summary, summary_of
 from voxseries.operators.joins import polls_long
 from voxseries.operators.polls import poll_daily, poll_weekly
+from voxseries.operators.rollup import rollup_both
 from voxseries.operators.sample import head, sample_n
 from voxseries.operators.views import daily_view, select_existing, stat_cards, weekly_view
+from voxseries.plans.analysis import split_grains
+from voxseries.sources.tables import staged
 
+# Columns of the table of example rows.
 _SAMPLE_COLUMNS = ["date", "party", "targeted_sentence", "trans_sentiment", "vader_score"]
 
 
@@ -31,6 +35,18 @@ def build_views(
     }
 
 
+def views_of_scored(
+    scored: DataFrame, polls: DataFrame, copies: str | None = None, comments: DataFrame | None = None,
+    submissions: DataFrame | None = None, **options,
+) -> dict[str, DataFrame]:
+    """The same from scored rows, scanned once: both grains are stored first. Counts of the first filter go into the summary."""
+    both, polls = staged(rollup_both(scored, copies), "series"), staged(polls, "polls")
+    weekly, daily = split_grains(both)
+    views = build_views(weekly, daily, polls, **options)
+    facts = summary_of(both, comments, submissions)
+    return views | {"summary": facts, "cards": stat_cards(facts)}
+
+
 def sample_rows(scored: DataFrame, key: str, n: int = 10, seed: int = 0) -> DataFrame:
     """``n`` example rows per group, in the columns a table shows."""
     return select_existing(sample_n(scored, n, key, seed, by="party"), _SAMPLE_COLUMNS)
