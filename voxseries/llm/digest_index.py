@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -29,12 +31,16 @@ class DigestIndex:
         self.spark, self.table, self.path, self.buckets = spark, table, path, buckets
         kind = (id_type or T.LongType()).simpleString()
         if not spark.catalog.tableExists(table):
-            spark.sql(f"CREATE TABLE {table} (digest BINARY, keep_id {kind}) USING parquet "
+            spark.sql(f"CREATE TABLE {table} (digest BINARY, keep_id {kind}, ingest STRING) USING parquet "
                       f"CLUSTERED BY (digest) SORTED BY (digest) INTO {buckets} BUCKETS LOCATION '{path}'")
 
-    def ingest(self, docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
+    def ingest(self, docs: DataFrame, id_column: str = "doc_id", text: str = "text", ingest: str | None = None) -> DataFrame:
         """Take documents in; returns one row per document: id, digest, keep_id, group_size, kept.
 
+        Each digest carries the name of the call that brought it (`ingest`, a new one unless given). A row is kept only if its
+        digest came with this call, so a row that is delivered again is dropped; a call that is repeated under its name, for
+        example because it died after the append, answers as the first time.
+
         Texts are equal when their normalised forms are; null is the empty text. A text the index knows is dropped in
         favour of the row it was taken in with; of new equal texts the row with the smallest id stays (null ids last, one
         row of a repeated id). `group_size` counts the equal rows of this call. Texts never move: only digests are
@@ -43,7 +49,7 @@ class DigestIndex:
         The digests are staged, so the scan and the hashing happen once, and a row number given before the stage is fixed
         by it. New digests are found by a sort-merge anti-join against the buckets and appended to them.
         """
-        stages = Stages(self.spark, "digests")
+        stages, ingest = Stages(self.spark, "digests"), ingest or uuid.uuid4().hex
         rows = stages.write(docs.select(
             F.col(id_column).alias("id"), digest(F.col(text)).alias("digest"),
             F.monotonically_increasing_id().alias("row")), "rows")
@@ -51,7 +57,7 @@ class DigestIndex:
         groups = stages.write(rows.groupBy("digest").agg(first.alias("first"), F.count("*").alias("group_size")), "groups")
         known = self.spark.table(self.table)
         fresh = groups.join(known.hint("merge"), "digest", "left_anti")
-        (fresh.select("digest", F.col("first.id").alias("keep_id"))
+        (fresh.select("digest", F.col("first.id").alias("keep_id"), F.lit(ingest).alias("ingest"))
          .repartition(self.buckets, "digest").write.mode("append").format("parquet")
          .bucketBy(self.buckets, "digest").sortBy("digest").option("path", self.path).saveAsTable(self.table))
         self.spark.catalog.refreshTable(self.table)
@@ -59,7 +65,7 @@ class DigestIndex:
         # shuffled and a digest with a third of the rows can be split.
         kept = self.spark.read.schema(known.schema).parquet(self.path)
         settled = stages.write(groups.join(kept.hint("merge"), "digest"), "settled")
-        new = (F.col("first.id").eqNullSafe(F.col("keep_id"))) & (F.col("first.row") == F.col("row"))
+        new = (F.col("ingest") == ingest) & (F.col("first.row") == F.col("row"))
         return rows.join(settled, "digest").select(
             F.col("id").alias(id_column), "digest", "keep_id", "group_size", new.alias("kept"))
 

@@ -226,13 +226,15 @@ class _Join:
         asked = likely.select(F.explode(F.array("low_x", "low_y")).alias("low")).select(slot("low").alias("slot")).distinct()
         some = (self.docs.withColumn("slot", slot("doc_id")).join(F.broadcast(asked), "slot", "left_semi")
                 .select("doc_id", "text"))
-        some = self.stages.write(whole_sets(some, self.words), "asked")
+        some = self.stages.write(whole_sets(some, self.words).withColumn("at", F.monotonically_increasing_id()), "asked")
+        # Of repeated rows (same id, same set) one stands for all.
+        one = some.groupBy("a", "b", "doc_id").agg(F.min("at").alias("at"))
 
         def with_grams(rows: DataFrame, s: str) -> DataFrame:
-            # A repeated row (same id, same set) only repeats a pair.
             on = ((F.col(f"a_{s}") == F.col("a")) & (F.col(f"b_{s}") == F.col("b"))
                   & F.col(f"low_{s}").eqNullSafe(F.col("doc_id")))
-            return rows.join(some, on).drop("a", "b", "doc_id").withColumnRenamed("grams", f"grams_{s}")
+            placed = rows.join(one, on).drop("a", "b", "doc_id")
+            return placed.join(some.select("at", F.col("grams").alias(f"grams_{s}")), "at").drop("at")
 
         compared = with_grams(with_grams(likely, "y"), "x").select(
             "x", "y", "n_x", "n_y", F.size(F.array_intersect("grams_x", "grams_y")).alias("shared"))

@@ -38,7 +38,8 @@ def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
     return suffix.remove_repeats(docs, 400).select(
         "doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"),
-        F.sha2("kept", 256).alias("kept_sha256"))
+        F.sha2("kept", 256).alias("kept_sha256"), F.try_divide("n_removed", "n_bytes").alias("removed_share"),
+        F.make_valid_utf8(F.col("kept").cast("string")).alias("kept_text"))
 
 
 def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:

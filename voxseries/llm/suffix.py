@@ -168,7 +168,9 @@ def _settle(stages: Stages, records: DataFrame, last: bool) -> tuple[DataFrame,
     """(ranges of repeated windows, ranges to look into) of one pass. Groups are only summed, never gathered."""
     groups = records.groupBy("g").agg(F.sum("n").alias("total"), F.min("c").alias("c1"), F.max("c").alias("c2"))
     groups = stages.write(groups.filter("total > 1").select("g", (F.col("c1") == F.col("c2")).alias("alike")), "groups")
-    hot = stages.write(records.join(groups, "g"), "hot")
+    # Rows alike in id and text have the same records: they become one, which weighs as many.
+    hot = records.join(groups, "g").groupBy(*[c for c in records.columns if c != "n"], "alike").agg(F.sum("n").alias("n"))
+    hot = stages.write(hot, "hot")
     stages.drop(records)
     whole = ["id", "tag", "lo", (F.col("hi") + F.col("more")).alias("hi")]
     done = hot.filter("alike").select(*whole)
@@ -197,7 +199,8 @@ def remove_repeats(docs: DataFrame, threshold: int, id_column: str = "doc_id", t
     Strings are judged on the input. Null texts are empty; shorter texts keep all; repeated rows are other places, so they
     lose everything that is long enough. An empty table gives an empty result; other columns are ignored.
 
-    Documents are known by id and a hash of the text, so rows alike in both share one set of spans. Texts move only where a
+    Documents are known by id and a hash of the text, so rows alike in both share one set of spans; their records are folded
+    into weights, so the work grows with their number and not with its square. Texts move only where a
     group is mixed or something is to be removed: such documents are picked by hash slots, a broadcast of fixed size.
     Groups are summed, and hot ones split by the join; no group is gathered.
     """
@@ -218,7 +221,6 @@ def remove_repeats(docs: DataFrame, threshold: int, id_column: str = "doc_id", t
             continue
         listed = todo.groupBy(*_KEY).agg(F.collect_list(F.struct("lo", "hi", "anchor", "g")).alias("todo"))
         listed = stages.write(listed, "todo")
-        # Rows alike in id and text have the same ranges twice; one of them is enough to make the records of both.
         asked = picked(listed, "left_semi").select(*_KEY, "text").join(listed, _KEY)
         records = stages.write(asked.mapInArrow(tidy(_next_pass(threshold, step)), _RECORD), "records")
         done, todo = _settle(stages, records, step == 1)
