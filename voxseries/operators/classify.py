@@ -1,5 +1,6 @@
 """Three-class batch scoring with any model, and a trainable default."""
 
+import sys
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -17,15 +18,16 @@ from voxseries.functions.text import strip, words
 from voxseries.operators.joins import is_small
 
 
-_models: dict[str, Callable] = {}
-
-
 def kept_model(name: str, load_model: Callable[[], Callable]) -> Callable:
-    """The model of a worker process; only the latest one is kept."""
-    if name not in _models:
-        _models.clear()
-        _models[name] = load_model()
-    return _models[name]
+    """The model of a worker process; only the latest one is kept.
+
+    It is kept beside the interpreter's own state, as functions that are sent to workers may not share module state.
+    """
+    models = vars(sys).setdefault("_voxseries_models", {})
+    if name not in models:
+        models.clear()
+        models[name] = load_model()
+    return models[name]
 
 
 def classify(
@@ -45,9 +47,7 @@ def classify(
 
     @F.pandas_udf(IntegerType())
     def label(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        from voxseries.operators import classify as here
-
-        model = here.kept_model(name, load_model)
+        model = kept_model(name, load_model)
         for texts in batches:
             out = np.full(len(texts), K.NEUTRAL, dtype=np.int32)
             filled = np.flatnonzero(texts.fillna("").str.strip() != "")
