@@ -230,13 +230,16 @@ class _Join:
         # Of repeated rows (same id, same set) one stands for all.
         one = some.groupBy("a", "b", "doc_id").agg(F.min("at").alias("at"))
 
-        def with_grams(rows: DataFrame, s: str) -> DataFrame:
+        def placed(rows: DataFrame, s: str) -> DataFrame:
             on = ((F.col(f"a_{s}") == F.col("a")) & (F.col(f"b_{s}") == F.col("b"))
                   & F.col(f"low_{s}").eqNullSafe(F.col("doc_id")))
-            placed = rows.join(one, on).drop("a", "b", "doc_id")
-            return placed.join(some.select("at", F.col("grams").alias(f"grams_{s}")), "at").drop("at")
+            return rows.join(one, on).drop("a", "b", "doc_id", f"a_{s}", f"b_{s}", f"low_{s}").withColumnRenamed("at", f"at_{s}")
+
+        def with_grams(rows: DataFrame, s: str) -> DataFrame:
+            return rows.join(some.select(F.col("at").alias(f"at_{s}"), F.col("grams").alias(f"grams_{s}")), f"at_{s}").drop(f"at_{s}")
 
-        compared = with_grams(with_grams(likely, "y"), "x").select(
+        # Both sides are found by narrow rows first: sets move once for each side.
+        compared = with_grams(with_grams(placed(placed(likely, "y"), "x"), "y"), "x").select(
             "x", "y", "n_x", "n_y", F.size(F.array_intersect("grams_x", "grams_y")).alias("shared"))
         linked = F.col("shared").cast("long") * 100 >= (F.col("n_x") + F.col("n_y") - F.col("shared")).cast("long") * p
         out = self.stages.write(compared.filter(linked).select("x", "y"), "links")
