@@ -9,6 +9,7 @@ Shards are the rows of a Parquet dataset, so Spark commits them whole and a lost
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -31,6 +32,11 @@ SHARD = ("part int, shard int, first long, n_ids long, base int, doc_ids binary,
          "doc_symbols binary, rules binary, expansion binary, symbols binary")
 
 
+#: A blank and letters of alphabets that the library and `regex` know alike, and how many such words go to the library in one text.
+_PLAIN = re.compile("[ ][A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+")
+_JOINED = 512
+
+
 class LibraryBpe(Bpe):
     """Words are encoded by the tokenizers library; what it gave is remembered."""
 
@@ -43,7 +49,28 @@ class LibraryBpe(Bpe):
         self.library.no_truncation()
 
     def encode_words(self, words: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.library.encode_batch_fast(words, add_special_tokens=False)]
+        plain = [w for w in words if _PLAIN.fullmatch(w)]
+        coded = dict(zip(plain, self._encode_joined(plain)))
+        rest = [w for w in words if coded.get(w) is None]
+        coded.update(zip(rest, (np.array(e.ids, "<u4").tobytes()
+                                for e in self.library.encode_batch_fast(rest, add_special_tokens=False))))
+        return [coded[w] for w in words]
+
+    def _encode_joined(self, words: list[str]) -> list[bytes | None]:
+        """Words of a blank and letters, many in one text: the library parts them there again. None where it did not."""
+        out: list[bytes | None] = []
+        for i in range(0, len(words), _JOINED):
+            some = words[i: i + _JOINED]
+            ids = np.array(self.library.encode("".join(some), add_special_tokens=False).ids, "<u4")
+            sizes = np.fromiter((len(w.encode()) for w in some), np.int64, len(some))
+            ends = np.append(0, np.cumsum(self._piece_sizes[ids.astype(np.int64)]))
+            cuts = np.searchsorted(ends, np.append(0, np.cumsum(sizes)))
+            if ends[-1] != sizes.sum() or (ends[cuts[1:]] != np.cumsum(sizes)).any():
+                out += [None] * len(some)
+                continue
+            raw, cuts = ids.tobytes(), (4 * cuts).tolist()
+            out += [raw[a:b] for a, b in zip(cuts[:-1], cuts[1:])]
+        return out
 
 
 @lru_cache(maxsize=2)
@@ -54,46 +81,72 @@ def load(path: str) -> LibraryBpe:
 def compress(ids: np.ndarray, docs: np.ndarray, base: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(symbols, document number of each symbol, rules as rows of left and right).
 
-    A round counts all pairs within documents, takes the most frequent kinds, and replaces their occurrences where the
-    pair is at least as frequent as the overlapping ones to its left and right; others wait for the next round. The most
-    frequent pair is always replaced, so each round shortens the symbols; the last one finds no pair that occurs LEAST times.
+    A round counts pairs within documents, takes the most frequent kinds, and replaces their occurrences where the pair is
+    at least as frequent as the overlapping ones to its left and right; others wait for the next round. The most frequent
+    pair is always replaced, so each round shortens the symbols; the last one finds no pair that occurs LEAST times.
+
+    Replacing only makes kinds of pairs that hold a new symbol, so the count of an older kind never rises: a place whose
+    kind is rare is not looked at again until a neighbour is replaced. Symbols form a linked list, and a round's work follows the
+    places still open.
     """
-    symbols, owner, rules, total = ids.astype(np.int64), docs.astype(np.int32), [], base
-    while len(symbols) > 1:
-        keys = symbols[:-1] * np.int64(total) + symbols[1:]
-        inside = owner[:-1] == owner[1:]
-        ordered = np.sort(keys[inside])
-        new = np.ones(len(ordered), bool)
-        new[1:] = ordered[1:] != ordered[:-1]
-        edges = np.flatnonzero(new)
+    n = len(ids)
+    symbols, alive = ids.astype(np.int64), np.ones(n, bool)
+    span, total, rules = np.int64(base + n), base, []
+    # -1 beyond the ends of a document; the last entry of `grade` stands for it.
+    after, before = np.arange(1, n + 1), np.arange(-1, n - 1)
+    ends = np.flatnonzero(np.append(docs[1:] != docs[:-1], True)) if n else np.zeros(0, np.int64)
+    after[ends] = -1
+    before[np.append(0, ends[:-1] + 1) if n else ends] = -1
+    grade = np.full(n + 1, np.iinfo(np.int32).max, np.int32)
+    flags, table = np.zeros(n, bool), np.full(1 << 20, -1, np.int32)
+    places = np.flatnonzero(after >= 0)
+    while len(places):
+        keys = symbols[places] * span + symbols[after[places]]
+        slots = _slot(keys)
+        full = np.bincount(slots, minlength=1 << 20)[slots] >= LEAST
+        places, keys, slots = places[full], keys[full], slots[full]
+        ordered = np.sort(keys)
+        edges = np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1])) if len(ordered) else np.zeros(0, np.int64)
         counts = np.diff(np.append(edges, len(ordered)))
         often = np.flatnonzero(counts >= LEAST)
         if not len(often):
             break
-        pairs = ordered[edges[often[np.argsort(-counts[often], kind="stable")[:PAIRS]]]]
+        kinds = ordered[edges[often]]
+        pairs = kinds[np.argsort(-counts[often], kind="stable")[:PAIRS]]
         # Of pairs in one hash slot the most frequent is looked up in this round, the others wait for the next.
         _, first = np.unique(_slot(pairs), return_index=True)
         pairs = pairs[np.sort(first)]
-        table = np.full(1 << 20, len(pairs), np.int32)
+        table[_slot(kinds)] = len(pairs)
         table[_slot(pairs)] = np.arange(len(pairs), dtype=np.int32)
-        grade = np.full(len(keys) + 2, len(pairs), np.int32)
-        own = table[_slot(keys)]
-        own[(np.append(pairs, -1)[own] != keys) | ~inside] = len(pairs)
-        grade[1:-1] = own
-        take = (own < len(pairs)) & (own <= grade[:-2]) & (own <= grade[2:])
-        at = np.flatnonzero(take)
-        starts = np.ones(len(at), bool)
-        starts[1:] = at[1:] != at[:-1] + 1
-        run = at[starts][np.cumsum(starts) - 1]
-        at = at[(at - run) % 2 == 0]
-        used = np.bincount(own[at], minlength=len(pairs)) > 0
-        rules.append(np.stack([pairs[used] // total, pairs[used] % total], axis=1))
-        symbols[at] = total + (np.cumsum(used) - 1)[own[at]]
-        keep = np.ones(len(symbols), bool)
-        keep[at + 1] = False
-        symbols, owner = symbols[keep], owner[keep]
+        own = table[slots]
+        table[_slot(kinds)] = -1
+        open_ = own >= 0
+        places, keys, own = places[open_], keys[open_], own[open_]
+        chosen = np.append(pairs, -1)[own] == keys
+        at, own = places[chosen], own[chosen]
+        grade[at] = own
+        take = (own <= grade[before[at]]) & (own <= grade[after[at]])
+        grade[at] = grade[n]
+        at, own = at[take], own[take]
+        # Of overlapping places of one pair (a a a) every second one is replaced, from the left.
+        starts = np.append(True, before[at[1:]] != at[:-1])
+        even = (np.arange(len(at)) - np.flatnonzero(starts)[np.cumsum(starts) - 1]) % 2 == 0
+        at, own = at[even], own[even]
+        used = np.bincount(own, minlength=len(pairs)) > 0
+        rules.append(np.stack([pairs[used] // span, pairs[used] % span], axis=1))
+        symbols[at] = total + (np.cumsum(used) - 1)[own]
         total += int(used.sum())
-    return symbols, owner, np.concatenate(rules) if rules else np.zeros((0, 2), np.int64)
+        gone = after[at]
+        alive[gone] = False
+        after[at] = beyond = after[gone]
+        before[beyond[beyond >= 0]] = at[beyond >= 0]
+        left = before[at]
+        flags[places] = flags[at] = flags[left[left >= 0]] = True
+        flags[gone] = False
+        places = np.flatnonzero(flags)
+        flags[places] = False
+        places = places[after[places] >= 0]
+    return symbols[alive], docs[alive], np.concatenate(rules) if rules else np.zeros((0, 2), np.int64)
 
 
 def _slot(keys: np.ndarray) -> np.ndarray:
