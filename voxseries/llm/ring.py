@@ -15,6 +15,9 @@ from pyspark.sql import types as T
 
 from voxseries.llm.common import Stages
 
+#: Alike rows that one task numbers in one go.
+RUN = 4096
+
 
 def ring(shards: int, nodes: int = 64, cells: int = 1 << 16) -> list[int]:
     """The owner of each cell. A shard's places depend on its number alone; a taken place is passed on clockwise."""
@@ -73,27 +76,33 @@ def assign(docs: DataFrame, shards: int, id_column: str = "doc_id", text: str =
 
     A key is the hash of id and text checksum, so repeated ids spread too; a null id or text is a value like any other
     (null text: empty). Ties on the ring are ordered by id, size and checksum; rows equal in all of them are
-    interchangeable. Texts are read once and do not move. Ranks are made per cell, a 1/65536 of the rows; the driver
-    sees one count per cell. An empty table gives an empty result.
+    interchangeable, so they are counted before any shuffle and numbered from their count, in runs of RUN rows that spread
+    over tasks. Texts are read once and do not move. Distinct rows are ranked per cell, a 1/65536 of them; the driver sees one
+    count per cell. An empty table gives an empty result.
     """
     body = F.coalesce(F.col(text), F.lit(""))
     stages = Stages(docs.sparkSession, "ring")
     rows = docs.select(F.col(id_column).alias("id"), (F.octet_length(body) + F.lit(8)).cast("long").alias("size"),
                        F.crc32(body).alias("text_crc32"))
     point = F.xxhash64("id", "text_crc32")
-    rows = stages.write(rows.withColumn("cell", F.pmod(point, F.lit(cells)).cast("int")).withColumn("point", point), "keys")
+    alike = rows.groupBy("id", "size", "text_crc32").agg(F.count("*").alias("n"))
+    alike = stages.write(alike.withColumn("cell", F.pmod(point, F.lit(cells)).cast("int")).withColumn("point", point), "keys")
     counts = [0] * cells
-    for row in rows.groupBy("cell").count().collect():
-        counts[row["cell"]] = row["count"]
+    for row in alike.groupBy("cell").agg(F.sum("n").alias("n")).collect():
+        counts[row["cell"]] = row["n"]
     pieces = spill(ring(shards, nodes, cells), counts, shards)
     table = docs.sparkSession.createDataFrame(
         pieces, T.StructType([T.StructField("cell", T.IntegerType()), T.StructField("rank", T.LongType()),
                               T.StructField("shard", T.IntegerType()), T.StructField("slot", T.LongType())]))
     table = table.groupBy("cell").agg(F.sort_array(F.collect_list(F.struct("rank", "shard", "slot"))).alias("pieces"))
     order = Window.partitionBy("cell").orderBy("point", F.col("id").asc_nulls_last(), "size", "text_crc32")
-    ranked = rows.withColumn("at", (F.row_number().over(order) - 1).cast("long"))
+    ranked = alike.withColumn("end", F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    runs = ranked.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1, F.lit(RUN).cast("long"))).alias("from"))
+    first = F.col("end") - F.col("n")
+    numbered = runs.repartition("cell", "id", "text_crc32", "from").withColumn("at", F.explode(F.sequence(
+        first + F.col("from"), F.least(first + F.col("from") + F.lit(RUN), F.col("end")) - 1)))
     piece = F.element_at(F.filter("pieces", lambda p: p["rank"] <= F.col("at")), -1)
     # At most one row per cell: a fixed size.
-    return (ranked.join(F.broadcast(table), "cell").withColumn("piece", piece)
+    return (numbered.join(F.broadcast(table), "cell").withColumn("piece", piece)
             .select(F.col("id").alias(id_column), "size", "text_crc32", F.col("piece.shard").alias("shard"),
                     (F.col("piece.slot") + F.col("at") - F.col("piece.rank")).alias("slot")))
