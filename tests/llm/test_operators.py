@@ -1,5 +1,6 @@
 """Operators of the subpackage against brute force, on awkward rows: nulls, empty and long texts, ties, repeats, no rows."""
 
+import glob
 import hashlib
 import random
 import re
@@ -7,11 +8,13 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from voxseries.llm import bpe, chat, digest_index, langid, mixing, ngram_join, queries, repair, ring, suffix, topk
 from voxseries.llm.common import Stages
+from voxseries.sources.tables import shared_dir
 
 SCHEMA = "doc_id long, text string, lang string, source string, slot int, row string, cls string"
 
@@ -138,6 +141,42 @@ def test_top_k(spark):
     assert topk.top_k(df.limit(0), F.col("vec_id") % 20 == 0).count() == 0
 
 
+def test_top_k_leaves_out_blocks_before_vectors_move(spark):
+    """Clusters far apart: a query's best block gives a k-th score that no block of another cluster reaches."""
+    rng = np.random.default_rng(5)
+    centre = np.eye(8)[np.arange(40_000) % 8] * 3
+    vectors = (centre + 0.05 * rng.normal(size=centre.shape)).astype(np.float32)
+    df = spark.createDataFrame(pd.DataFrame({"vec_id": np.arange(40_000), "embedding": list(vectors)}),
+                               "vec_id long, embedding array<float>")
+    before = set(glob.glob(f"{shared_dir(spark)}/topk-*"))
+    got = topk.top_k(df, F.col("vec_id") % 20 == 0, k=20).toPandas()
+    (root,) = set(glob.glob(f"{shared_dir(spark)}/topk-*")) - before
+    count = lambda name: spark.read.parquet(glob.glob(f"{root}/*-{name}")[0]).count()
+    every = count("blocks") * count("seeded_queries")
+    assert count("near") + count("open") < every and count("blocks") == 5
+    whole = np.floor(64 * vectors.astype(float)).astype(int)
+    for q in (0, 20, 1220, 39_980):
+        score = whole @ whole[q]
+        score[q] = -10**9
+        want = np.lexsort((np.arange(len(score)), -score))[:20]
+        mine = got[got.query_id == q].sort_values("rank")
+        assert mine.vec_id.tolist() == want.tolist() and mine.score.tolist() == score[want].tolist()
+    assert len(got) == 2000 * 20
+
+
+def test_top_k_of_large_and_alike_numbers(spark):
+    """Scores beyond 2^53 stay whole; alike vectors, one id on several rows and empty vectors have a defined result."""
+    big = 2.0**30
+    rows = [(0, [big, 1.0]), (1, [big, 1.0]), (2, [big, 1.5]), (3, [big, 0.5]), (20, [1.0, 1.0]), (20, [2.0, 1.0]),
+            (40, []), (41, []), (60, [1.0, 2.0, 3.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").withColumn("score", F.lit("x"))
+    got = {}
+    for r in topk.top_k(df, F.col("vec_id") % 20 == 0, k=3, scale=1).orderBy("query_id", "rank").collect():
+        got.setdefault(r["query_id"], []).append((r["vec_id"], r["score"]))
+    assert got == {0: [(1, 2**60 + 1), (2, 2**60 + 1), (3, 2**60)], 20: [(0, 2**30 + 1), (1, 2**30 + 1), (2, 2**30 + 1)],
+                   40: [(41, 0)]}
+
+
 def test_digest_index_over_two_batches(spark, odd, tmp_path):
     index = digest_index.DigestIndex(spark, f"digests_{tmp_path.name.replace('-', '_')}", str(tmp_path / "index"), buckets=4)
     plain = lambda t: re.sub(r"[\x20\x09-\x0D]+", " ", t or "")
