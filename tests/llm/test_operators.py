@@ -206,12 +206,14 @@ def test_language_mixture(spark):
     docs = documents(spark, texts, {i: "ab"[i % 2] * 2 for i, _ in texts})
     model = langid.train(docs)
     mixed = " ".join(rng.choice(lexicon["aa"]) for _ in range(60)) + " " + " ".join(rng.choice(lexicon["bb"]) for _ in range(20))
-    asked = [(1, "kako tiko"), (2, None), (3, ""), (4, "12 !?"), (5, mixed), (6, "stein"), (None, "rund rund")]
+    asked = [(1, "kako tiko"), (2, None), (3, ""), (4, "12 !?"), (5, mixed), (6, "stein"), (None, "rund rund"),
+             (8, mixed * 5000)]
     got = {r["doc_id"]: (r["lang_pred"], r["lang_score"], r["lang_count"])
            for r in langid.identify(documents(spark, asked), model).collect()}
     assert got[1] == ("aa", 1.0, 1) and got[6][0] == got[None][0] == "bb"
     assert got[2] == got[3] == got[4] == ("und", 0.0, 0)
     assert got[5][0] == "aa" and got[5][2] == 2 and abs(got[5][1] - 0.75) < 0.05
+    assert got[8][0] == "aa" and got[8][2] == 2 and abs(got[8][1] - 0.75) < 0.05
     empty = langid.train(docs.limit(0))
     assert {r["lang_pred"] for r in langid.identify(docs, empty).collect()} == {"und"}
 
@@ -235,6 +237,29 @@ def test_language_shares_are_fitted_to_the_end():
         assert s == pytest.approx(lo, abs=2e-3)
 
 
+def test_languages_beyond_one_block(spark):
+    """150 languages in three blocks: one language and mixtures across blocks are found, and no row or column is lost."""
+    rng = random.Random(9)
+    pick = lambda: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(8))
+    lexicon = {f"l{j:03d}": [pick() for _ in range(12)] for j in range(150)}
+    say = lambda name, n: " ".join(rng.choice(lexicon[name]) for _ in range(n))
+    texts = [(i, say(f"l{i:03d}", 60)) for i in range(150)]
+    blocks = langid.train(documents(spark, texts, {i: f"l{i:03d}" for i, _ in texts}))
+    assert [len(b.languages) for b in blocks] == [64, 64, 22] and sum((b.languages for b in blocks), []) == sorted(lexicon)
+    asked = [(i, say(f"l{i:03d}", 12)) for i in range(150)]
+    asked += [(200, say("l003", 60) + " " + say("l140", 20)), (201, say("l100", 60) + " " + say("l101", 30)), (202, None), (203, "1 2")]
+    docs = documents(spark, asked).withColumn("lang_kept", F.lit("own")).withColumn("lang_pred", F.lit("old"))
+    rows = langid.identify(docs, blocks).collect()
+    got = {r["doc_id"]: (r["lang_pred"], r["lang_count"]) for r in rows}
+    assert all(got[i][0] == f"l{i:03d}" for i in range(150)) and {r["lang_kept"] for r in rows} == {"own"}
+    assert got[200] == ("l003", 2) and got[201] == ("l100", 2) and got[202] == got[203] == ("und", 0)
+    whole = langid.Model(sorted(lexicon), np.concatenate([b.log_p for b in blocks], axis=1))
+    names, score, chosen = whole.predict([t for _, t in asked[150:]])
+    shares = {r["doc_id"]: r["lang_score"] for r in rows}
+    for (i, _), name, share, size in zip(asked[150:], names, score, chosen):
+        assert got[i] == (name, size) and shares[i] == pytest.approx(share, abs=1e-3)
+
+
 def test_ring(spark, odd):
     got = ring.assign(documents(spark, odd), 7, nodes=8, cells=64).collect()
     counts = Counter(r["shard"] for r in got)

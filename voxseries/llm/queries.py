@@ -63,7 +63,7 @@ def _held_out() -> F.Column:
     return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 5 == 0
 
 
-def language_model(docs: DataFrame) -> langid.Model:
+def language_model(docs: DataFrame) -> list[langid.Model]:
     """Learned from the documents that are not held out."""
     return langid.train(docs.filter(~_held_out()))
 
