@@ -322,6 +322,59 @@ def test_repair_round_trip(spark, odd):
     assert repair.shards(documents(spark, []), path).count() == 0
 
 
+def test_known_words_of_latin_texts_are_looked_up_as_arrays(monkeypatch):
+    """Like the library on awkward Latin texts; no text is split word by word, and words that came before do not reach the library."""
+    from tokenizers import Tokenizer
+    path = queries.tokenizer_path()
+    tok, coder, rng = Tokenizer.from_file(path), type(repair.load(path))(path), random.Random(8)
+    some = ["a", "é", "ß", "s", "t", "re", "ve", "ll", "m", "'", "'", " ", " ", "  ", "\n", "\t", "\r\n", "\x85", "\xa0", "\x1c", "\0", "\x01",
+            ".", "!!", "—", "’", "…", "\u2010", "\u2027", "7", "²", "½", "µ", "ª", "×", "Ġ", "the", " of", "x" * 23, "y" * 24, "zé" * 9]
+    texts = ["".join(rng.choice(some) for _ in range(rng.randrange(1, 25))) for _ in range(3000)]
+    texts += ["", "'", "'s", " 's", "\n's", "''s", "it's'll've", "'re", "'r", "'l", " ", "  ", "\n", "a ", "a  ", "a \n", " \n a", "x" * 5000, ""]
+    want = [np.array(tok.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+
+    def refuse(*_):
+        raise AssertionError("split or encoded once more")
+
+    monkeypatch.setattr(coder, "words", refuse)
+    assert coder.encode(texts) == want
+    plain = ["the of", "", "it's the\n"] * 5
+    once = coder.encode(plain)
+    monkeypatch.setattr(coder, "_by_library", refuse)
+    assert coder.encode(plain) == once
+    monkeypatch.undo()
+    mixed = ["the 日本", "a<|endoftext|>b", "the", "Ω'sé", "", "<|endoftext|>", "🙂 of"] + [a + b for a, b in zip(texts[:500], texts[::-1])]
+    assert coder.encode(mixed) == [np.array(tok.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in mixed]
+    assert coder.encode([]) == [] and coder.encode(["", ""]) == [b"", b""]
+
+
+def test_words_survive_full_slots_and_a_new_table(monkeypatch):
+    """Words that share a slot push each other out, and a full table starts anew: ids stay right."""
+    from voxseries.llm import word_table
+    from tokenizers import Tokenizer
+    path = queries.tokenizer_path()
+    monkeypatch.setattr(word_table, "_FULL", 200)
+    tok, coder, rng = Tokenizer.from_file(path), word_table.LibraryBpe(path), random.Random(9)
+    monkeypatch.setattr(word_table, "pair_hash", lambda a, b: (a + b) << np.uint64(62) | np.uint64(1 << 45))
+    for _ in range(20):
+        texts = [" ".join(rng.choice(["alpha", "beta", "é", "z" * 40, str(rng.randrange(99))]) for _ in range(30)) for _ in range(6)]
+        assert coder.encode(texts) == [np.array(tok.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+
+
+def test_reading_shards_does_not_shuffle_them(spark, odd):
+    """Also where Spark would not broadcast by itself, as with tables of unknown size."""
+    written = Stages(spark, "test").write(repair.shards(documents(spark, odd), queries.tokenizer_path()), "shards")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        read = repair.read_documents(written)
+        plan = read._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+        assert read.count() == len(odd)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def test_repair_goes_on_until_no_pair_is_frequent():
     rng = np.random.default_rng(3)
     passage = rng.integers(0, 50, 300)

@@ -9,18 +9,16 @@ Shards are the rows of a Parquet dataset, so Spark commits them whole and a lost
 
 from __future__ import annotations
 
-import re
 import zlib
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from voxseries.llm.bpe import Bpe
 from voxseries.llm.common import text_slices, tidy
+from voxseries.llm.word_table import load
 
 SHARD_IDS = 1 << 20
 #: Pairs are replaced while one occurs this often within the documents of its shard; a round replaces this many kinds of pairs.
@@ -32,52 +30,6 @@ SHARD = ("part int, shard int, first long, n_ids long, base int, doc_ids binary,
          "doc_symbols binary, rules binary, expansion binary, symbols binary")
 
 
-#: A blank and letters of alphabets that the library and `regex` know alike, and how many such words go to the library in one text.
-_PLAIN = re.compile("[ ][A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+")
-_JOINED = 512
-
-
-class LibraryBpe(Bpe):
-    """Words are encoded by the tokenizers library; what it gave is remembered."""
-
-    def __init__(self, path: str):
-        super().__init__(path)
-        from tokenizers import Tokenizer
-
-        self.library = Tokenizer.from_file(path)
-        self.library.no_padding()
-        self.library.no_truncation()
-
-    def encode_words(self, words: list[str]) -> list[bytes]:
-        plain = [w for w in words if _PLAIN.fullmatch(w)]
-        coded = dict(zip(plain, self._encode_joined(plain)))
-        rest = [w for w in words if coded.get(w) is None]
-        coded.update(zip(rest, (np.array(e.ids, "<u4").tobytes()
-                                for e in self.library.encode_batch_fast(rest, add_special_tokens=False))))
-        return [coded[w] for w in words]
-
-    def _encode_joined(self, words: list[str]) -> list[bytes | None]:
-        """Words of a blank and letters, many in one text: the library parts them there again. None where it did not."""
-        out: list[bytes | None] = []
-        for i in range(0, len(words), _JOINED):
-            some = words[i: i + _JOINED]
-            ids = np.array(self.library.encode("".join(some), add_special_tokens=False).ids, "<u4")
-            sizes = np.fromiter((len(w.encode()) for w in some), np.int64, len(some))
-            ends = np.append(0, np.cumsum(self._piece_sizes[ids.astype(np.int64)]))
-            cuts = np.searchsorted(ends, np.append(0, np.cumsum(sizes)))
-            if ends[-1] != sizes.sum() or (ends[cuts[1:]] != np.cumsum(sizes)).any():
-                out += [None] * len(some)
-                continue
-            raw, cuts = ids.tobytes(), (4 * cuts).tolist()
-            out += [raw[a:b] for a, b in zip(cuts[:-1], cuts[1:])]
-        return out
-
-
-@lru_cache(maxsize=2)
-def load(path: str) -> LibraryBpe:
-    return LibraryBpe(path)
-
-
 def compress(ids: np.ndarray, docs: np.ndarray, base: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(symbols, document number of each symbol, rules as rows of left and right).
 
@@ -290,7 +242,7 @@ _SHARD_ARROW = pa.schema([
 def read_documents(written: DataFrame, id_column: str = "doc_id") -> DataFrame:
     """The documents of written shards: id, start (ids before it), n_tokens, ids_crc32, ids (packed).
 
-    One sum per part is set against the others in a single window; the rest is local to a shard.
+    One sum per part is set against the others in a single window and sent to all tasks; shards are read where they lie.
     """
     parts = written.groupBy("part").agg(F.sum("n_ids").alias("n"))
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
@@ -314,5 +266,5 @@ def read_documents(written: DataFrame, id_column: str = "doc_id") -> DataFrame:
                         "ids_crc32": pa.array([zlib.crc32(c) for c in coded], pa.int64()),
                         "ids": pa.array(coded, pa.binary())})
 
-    return written.join(offsets, "part").mapInArrow(
+    return written.join(F.broadcast(offsets), "part").mapInArrow(
         tidy(run), f"{id_column} long, start long, n_tokens long, ids_crc32 long, ids binary")
