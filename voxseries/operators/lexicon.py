@@ -8,13 +8,18 @@ from pyspark.sql import functions as F
 
 from voxseries import constants as K
 from voxseries.functions.text import words
-from voxseries.operators.joins import is_small
+from voxseries.operators import joins
 
 
 #: Words of a lexicon that may stand in a plan as a literal set.
 LITERAL = 50_000
 
 
+def is_small(lexicon: DataFrame) -> bool:
+    """Whether a lexicon, once measured, may stand in a plan as a literal set."""
+    return joins.is_small(lexicon, LITERAL)
+
+
 def _listed(term: str, names) -> str:
     """SQL test whether a term is one of the names."""
     quoted = ", ".join("'" + n.replace("\\", "\\\\").replace("'", "\\'") + "'" for n in names)
@@ -148,7 +153,7 @@ def lexicon_score(
     of a row sit in one task, so the map side has already added them up. Null and empty text scores 0.
     """
     lexicon = lexicon.select("word", F.col("valence").cast("double").alias("valence"))
-    small = is_small(lexicon, LITERAL)
+    small = is_small(lexicon)
     side = F.broadcast if small else (lambda table: table)
     closing = df.sparkSession.range(1).select(F.lit("").alias("w"), F.lit(0.0).alias("valence"))
     known = lexicon.select(F.col("word").alias("w"), "valence").union(closing)
