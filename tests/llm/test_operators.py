@@ -348,6 +348,20 @@ def test_known_words_of_latin_texts_are_looked_up_as_arrays(monkeypatch):
     assert coder.encode([]) == [] and coder.encode(["", ""]) == [b"", b""]
 
 
+def test_long_texts_are_cut_between_words(monkeypatch):
+    """Memory is bounded by the piece; ids are those of the whole text."""
+    from voxseries.llm import word_table
+    from tokenizers import Tokenizer
+    path = queries.tokenizer_path()
+    monkeypatch.setattr(word_table, "_LONG", 40)
+    tok, coder, rng = Tokenizer.from_file(path), word_table.LibraryBpe(path), random.Random(10)
+    some = ["it", "'s", "é", " ", "  ", "\n", "\t", " \x1c", "\xa0", "7", "!", " of", " the", " '"]
+    texts = ["".join(rng.choice(some) for _ in range(rng.randrange(1, 300))) for _ in range(500)] + ["x" * 300, " " * 300, ""]
+    assert max(len(list(word_table.pieces(t))) for t in texts) > 3
+    assert all("".join(word_table.pieces(t)) == t for t in texts)
+    assert coder.encode(texts) == [np.array(tok.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+
+
 def test_words_survive_full_slots_and_a_new_table(monkeypatch):
     """Words that share a slot push each other out, and a full table starts anew: ids stay right."""
     from voxseries.llm import word_table

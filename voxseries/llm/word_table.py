@@ -7,7 +7,9 @@ words that are not in it reach the library, many in one call. Other texts take t
 from __future__ import annotations
 
 import json
+import re
 import unicodedata
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -24,6 +26,9 @@ _KEYED, _SLOTS = 23, 1 << 20
 #: Remembered ids from which on a table starts anew. It bounds memory only.
 _FULL = 1 << 23
 
+#: A word starts at a space between two other characters, whatever is around: there texts of more than _LONG characters are cut.
+_LONG, _CUT = 1 << 20, re.compile(r"(?<=\S) (?=\S)")
+
 _MASKS = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
 
 
@@ -64,6 +69,15 @@ def word_starts(codes: np.ndarray) -> np.ndarray:
     return start
 
 
+def pieces(text: str) -> Iterator[str]:
+    """A text in pieces of about _LONG characters that are split into the same words as the whole."""
+    at = 0
+    while len(text) - at > _LONG and (found := _CUT.search(text, at + _LONG)):
+        yield text[at: found.start()]
+        at = found.start()
+    yield text[at:]
+
+
 class LibraryBpe(Bpe):
     """Words are encoded by the tokenizers library; what it gave is remembered."""
 
@@ -121,9 +135,10 @@ class LibraryBpe(Bpe):
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text, as little-endian unsigned 32-bit integers."""
         plain = [not (_BEYOND_LATIN.search(t) or self._specials and self._specials.search(t)) for t in texts]
-        latin = iter(self._encode_latin([t for t, p in zip(texts, plain) if p]))
+        latin = iter(self._encode_latin([t for t, p in zip(texts, plain) if p and len(t) <= _LONG]))
         rest = iter(super().encode([t for t, p in zip(texts, plain) if not p]))
-        return [next(latin if p else rest) for p in plain]
+        return [next(rest) if not p else next(latin) if len(t) <= _LONG
+                else b"".join(self._encode_latin([some])[0] for some in pieces(t)) for t, p in zip(texts, plain)]
 
     def _encode_latin(self, texts: list[str]) -> list[bytes]:
         """Of texts of Latin characters without special tokens."""
