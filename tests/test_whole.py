@@ -107,6 +107,17 @@ def test_linear_scorer_agrees_with_the_model(spark):
     assert C.classify_linear(odd.limit(0), "text", weights, intercepts, ["id"]).count() == 0
 
 
+def test_linear_scorer_trims_a_text_once(spark):
+    """A text that went through the explode with its words would be copied and trimmed for each of them."""
+    rows = spark.createDataFrame(
+        [(1, "que " + "is " * 5000), (2, "is " + "que " * 5000), (3, "\u3000 \t"), (4, None), (None, "is"), (None, "is"), (None, "")], "id int, body string")
+    got = C.classify_linear(rows, "body", X.weights(spark), X.INTERCEPTS, ["id"])
+    exploded = [line for line in got._jdf.queryExecution().sparkPlan().toString().splitlines() if "Generate " in line]
+    assert len(exploded) == 1 and "id#" in exploded[0] and "body#" not in exploded[0]
+    # Rows of one key are one row, but for the blank ones.
+    assert sorted((r.id or 0, r.trans_sentiment) for r in got.collect()) == [(0, 1), (0, 2), (1, 2), (2, 0), (3, 1), (4, 1)]
+
+
 def test_worker_keeps_the_latest_model():
     made = []
     for name in ("a", "a", "b", "a"):

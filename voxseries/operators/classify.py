@@ -103,11 +103,12 @@ def classify_linear(
     wide = weights.filter((F.col("term") != "") & F.col("class").isin(list(classes))).groupBy("term").agg(*[
         F.coalesce(F.sum(F.when(F.col("class") == c, F.col("weight"))), F.lit(0.0)).alias(f"_w{c}") for c in classes])
     wide = F.broadcast(wide) if is_small(weights) else wide
-    tokens = _tokens(df, text_col, max_tokens)
     blank = F.coalesce(strip(F.col(text_col)) == "", F.lit(True)).alias("_blank")
+    # Found before the explode: afterwards the text would go along with each of its words, to be trimmed for every one.
+    cut = _tokens(df, text_col, max_tokens).select(*key, blank, "_tokens")
     # A place of its own closes each row, so that rows without a known word keep a score.
     terms = F.explode(F.concat("_tokens", F.array(F.lit("")))).alias("term")
-    counted = tokens.select(*key, blank, terms)
+    counted = cut.select(*key, "_blank", terms)
     known = counted.join(wide, "term", "left")
     sums = known.groupBy(*key, "_blank").agg(*[
         (F.coalesce(F.sum(f"_w{c}"), F.lit(0.0)) + F.lit(float(b))).alias(f"_s{c}") for c, b in zip(classes, intercepts)])
